@@ -135,11 +135,13 @@ def _representative_days(frame: DataFrame) -> dict[str, float]:
 def fit_impacts(daily: DataFrame, trips_col: str) -> tuple[DataFrame, dict]:
     """Effects (label, group, pct, lo, hi) and meta (n, R2 of controls and full, partial R2).
 
-    Month effects are absorbed, so the number of months does not widen the system.
+    A slice without usable days gives no effects and ``n`` 0. Month effects are absorbed, so the number of months does not widen the system.
     """
     frame = impact_frame(daily, trips_col).persist()
     try:
         moments = collect_moments(frame, IMPACT_DESIGN)
+        if moments.n == 0:
+            return daily.sparkSession.createDataFrame([], EFFECT_SCHEMA), {"n": 0}
         fit = solve(moments)
         controls = solve(
             moments, moments.number_columns(["holiday"]) + moments.level_columns("dow")
