@@ -86,13 +86,13 @@ def weekday_rider_profile(filled: DataFrame, by: Sequence[str] = SEGMENT) -> Dat
     return rider_mix(means, [*by, "hour"])
 
 
-def attach_hour_weather(
-    filled: DataFrame, hourly: DataFrame, column: str, by: Sequence[str] = SEGMENT
-) -> DataFrame:
-    """Zero-filled hours with one weather column; hours the mart lacks carry none and drop."""
-    keys = [*by, "date", "hour"]
-    known = hourly.filter(F.col(column).isNotNull()).select(*keys, column)
-    return filled.join(known, keys)
+def known_hours(hourly: DataFrame, column: str) -> DataFrame:
+    """Hours with trips on which a weather column was reported.
+
+    Zero-filled hours are absent from the mart and so carry no weather; attaching weather to the
+    filled grid and dropping hours without it leaves exactly these rows, with no grid and no join.
+    """
+    return hourly.filter(F.col(column).isNotNull())
 
 
 def rain_haircut(cells: DataFrame, by: Sequence[str] = SEGMENT) -> DataFrame:
@@ -167,29 +167,27 @@ def calendar_month_mean(d: DataFrame, by: Sequence[str] = SEGMENT) -> DataFrame:
 def five_number(d: DataFrame, value: str = "trips", by: Sequence[str] = ("segment", "condition")) -> DataFrame:
     """Box-plot numbers per group: quartiles, extremes, and whiskers at 1.5 interquartile ranges.
 
-    A whisker ends at the furthest value within the fence. Quartiles interpolate linearly.
+    A whisker ends at the furthest value within the fence. Quartiles interpolate linearly. They
+    are attached to the rows by a window on the grouping key, so one shuffle serves both steps.
     """
-    known = d.dropna(subset=[value, *by])
-    boxes = known.groupBy(*by).agg(
+    group = Window.partitionBy(*by)
+    quartiles = {
+        f"_q{k}": F.percentile(value, F.lit(k / 4)).over(group) for k in (1, 2, 3)
+    }
+    known = d.dropna(subset=[value, *by]).select(*by, value).withColumns(quartiles)
+    reach = 1.5 * (F.col("_q3") - F.col("_q1"))
+    inside = F.col(value).between(F.col("_q1") - reach, F.col("_q3") + reach)
+    within = F.when(inside, F.col(value))
+    return known.groupBy(*by).agg(
         F.count(value).alias("n"),
-        F.percentile(value, F.lit(0.25)).alias("q1"),
-        F.percentile(value, F.lit(0.5)).alias("median"),
-        F.percentile(value, F.lit(0.75)).alias("q3"),
+        F.first("_q1").alias("q1"),
+        F.first("_q2").alias("median"),
+        F.first("_q3").alias("q3"),
         F.min(value).cast("double").alias("low"),
         F.max(value).cast("double").alias("high"),
+        F.min(within).cast("double").alias("whisker_low"),
+        F.max(within).cast("double").alias("whisker_high"),
     )
-    reach = 1.5 * (F.col("q3") - F.col("q1"))
-    inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
-    whiskers = (
-        known.join(boxes.select(*by, "q1", "q3"), list(by))
-        .filter(inside)
-        .groupBy(*by)
-        .agg(
-            F.min(value).cast("double").alias("whisker_low"),
-            F.max(value).cast("double").alias("whisker_high"),
-        )
-    )
-    return boxes.join(whiskers, list(by))
 
 
 def headline(d: DataFrame, by: Sequence[str] = SEGMENT) -> DataFrame:
@@ -209,6 +207,16 @@ def sub_population(d: DataFrame, column: str) -> DataFrame:
     return d.filter(F.col(column) > 0)
 
 
+def amount_days(d: DataFrame, amounts: Sequence[str], by: Sequence[str] = SEGMENT) -> DataFrame:
+    """Days and trips on which each amount is above zero, all amounts in one pass."""
+    rows = F.array(*[F.struct(F.lit(c).alias("amount"), F.col(c).alias("measured")) for c in amounts])
+    return (
+        sub_population(d.select(*by, "trips", F.inline(rows)), "measured")
+        .groupBy(*by, "amount")
+        .agg(F.count(F.lit(1)).alias("days"), F.sum("trips").alias("trips"))
+    )
+
+
 # ---------------------------------------------------------------- adjusted ridership
 def period_totals(adjusted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Actual and adjusted totals and the weather's share in percent."""

@@ -450,6 +450,8 @@ BODIES: dict[str, str] = {
       FROM trips WHERE region = 'NYC' AND start_station_name IS NOT NULL AND year(start_time) BETWEEN 1995 AND 2001 AND {OWNED} GROUP BY 1""",
     "daily_trips_weather": "SELECT * FROM joined",
     "hourly_trips_weather": f"SELECT * {REPLACE_HOURS} FROM hour_joined",
+    "missing_start_times": "SELECT region, source_era, count(*) AS trips, count(*) FILTER (WHERE start_time IS NULL) AS missing FROM trips GROUP BY 1, 2",
+    "repeated_keys": "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
     "observation_pivot": "SELECT * FROM wide",
     "weather_daily_derived": "SELECT * FROM derived",
     "weather_daily_stations": "SELECT d.*, m.* EXCLUDE (station_id) FROM derived d JOIN mapped m ON d.station_id = m.station_id",

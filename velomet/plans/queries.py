@@ -17,7 +17,7 @@ from velomet.functions.calendar import hour_stamp, is_federal_holiday, is_weeken
 from velomet.functions.geo import great_circle_meters
 from velomet.functions.text import name_key, present_weather_flag
 from velomet.functions.units import steady_round
-from velomet.operators import climatology, profiles, series, spatial, trip_marts, weather_daily, weather_hourly
+from velomet.operators import climatology, profiles, quality, series, spatial, trip_marts, weather_daily, weather_hourly
 from velomet.operators.lowess import lowess
 from velomet.operators.regression import Design, cluster_sums, collect_moments, hac_sums, moment_sums, solve
 from velomet.plans import daily_impacts, hourly_rain, standins, weather_adjusted
@@ -82,6 +82,18 @@ def hourly_trips_weather(spark, sf):
     return rounded(df, ["temp_f", "dewpoint_f", "wetbulb_f", "rh_pct", "prcp_inches", "wind_mph", "visibility_miles"])
 
 
+@query
+def missing_start_times(spark, sf):
+    return quality.missing_start_times(standins.trips(spark, sf))
+
+
+@query
+def repeated_keys(spark, sf):
+    """Line items whose (order, line) key is not unique."""
+    keys = ["l_orderkey", "l_linenumber"]
+    return quality.repeated_keys(standins.table(spark, sf, "lineitem"), keys)
+
+
 # ---------------------------------------------------------------- weather
 @query
 def observation_pivot(spark, sf):
@@ -250,8 +262,8 @@ def shard_antijoin(spark, sf):
     return manifest.csv_members(_trip_manifest(spark, sf))
 
 
-def _listing(spark, sf, extra=""):
-    """Customers as published files, suppliers (or the extra suffix) as stored ones."""
+def _listing(spark, sf):
+    """Customers as published files."""
     key = F.col("c_custkey")
     return standins.table(spark, sf, "customer").select(
         F.concat(F.when(key % 4 == 0, "jc-").otherwise(""), (F.lit(201300) + key % 1200).cast("string"), F.lit("-tripdata-"), key.cast("string"), F.when(key % 9 == 0, ".html").otherwise(".zip")).alias("path"),
@@ -260,6 +272,7 @@ def _listing(spark, sf, extra=""):
 
 
 def _stored(spark, sf):
+    """Files of the even customers that ordered, some with another size."""
     key = F.col("o_custkey")
     return (
         standins.table(spark, sf, "orders")
@@ -434,13 +447,7 @@ def headline_kpis(spark, sf):
 def snow_days(spark, sf):
     """Days with snowfall, rain or snow on the ground, counted per segment."""
     d = _daily(spark, sf).filter(F.col("tavg_f").isNotNull())
-    parts = [
-        profiles.sub_population(d, c).groupBy("segment").agg(
-            F.lit(c).alias("amount"), F.count(F.lit(1)).alias("days"), F.sum("trips").alias("trips")
-        )
-        for c in ("snow_inches", "prcp_inches", "snow_depth_inches")
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return profiles.amount_days(d, ["snow_inches", "prcp_inches", "snow_depth_inches"])
 
 
 @query
@@ -477,35 +484,32 @@ def _hourly(spark, sf):
 
 
 def _filled(spark, sf):
-    hourly = _hourly(spark, sf)
-    return hourly, series.zero_filled_hours(hourly)
+    return series.zero_filled_hours(_hourly(spark, sf))
 
 
 @query
 def zero_filled_hours(spark, sf):
-    return _filled(spark, sf)[1]
+    return _filled(spark, sf)
 
 
 @query
 def zero_filled_profile(spark, sf):
-    return rounded(profiles.day_type_profile(_filled(spark, sf)[1]), ["trips"])
+    return rounded(profiles.day_type_profile(_filled(spark, sf)), ["trips"])
 
 
 @query
 def weekday_rider_profile(spark, sf):
-    return rounded(profiles.weekday_rider_profile(_filled(spark, sf)[1]), ["trips"])
+    return rounded(profiles.weekday_rider_profile(_filled(spark, sf)), ["trips"])
 
 
 @query
 def rain_haircut(spark, sf):
-    hourly, filled = _filled(spark, sf)
-    return rounded(profiles.rain_haircut(profiles.attach_hour_weather(filled, hourly, "is_raining")), ["pct"])
+    return rounded(profiles.rain_haircut(profiles.known_hours(_hourly(spark, sf), "is_raining")), ["pct"])
 
 
 @query
 def heat_index(spark, sf):
-    hourly, filled = _filled(spark, sf)
-    return rounded(profiles.heat_index(profiles.attach_hour_weather(filled, hourly, "temp_f")), ["pct"])
+    return rounded(profiles.heat_index(profiles.known_hours(_hourly(spark, sf), "temp_f")), ["pct"])
 
 
 @query

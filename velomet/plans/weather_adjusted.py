@@ -10,6 +10,7 @@ from velomet.operators.climatology import fill_from_normals, normals
 from velomet.operators.regression import Design, collect_moments, solve
 from velomet.operators.splines import quantile_knots
 from velomet.plans.daily_impacts import WEEKDAYS, calendar_outcome
+from velomet.session import checkpoint_dir
 
 SPLINE_COLUMNS = 5
 _SPLINE = [f"bs{k}" for k in range(1, SPLINE_COLUMNS + 1)]
@@ -42,17 +43,15 @@ def weather_adjusted_daily(daily: DataFrame, trips_col: str) -> DataFrame:
 
     The model is fitted once, on drivers filled from their day-of-year normals. The month
     effect, being absorbed, is recovered as the month's mean residual; it cancels in the weather
-    effect, which compares the day's weather to the normal of its day of year.
+    effect, which compares the day's weather to the normal of its day of year. The day rows are
+    checkpointed because normals, knots, fit and result each read them: trips are scanned once.
     """
-    days = kpi_frame(daily, trips_col)
-    filled = fill_from_normals(days, normals(days, CLIMATOLOGY_DRIVERS), CLIMATOLOGY_DRIVERS).persist()
-    try:
-        knots = quantile_knots(filled, "tavg_f", SPLINE_COLUMNS)
-        actual = dict(zip(_SPLINE, knots.basis(F.col("tavg_f"))))
-        model = filled.withColumns(actual)
-        weights = solve(collect_moments(model, ADJUSTED_DESIGN)).weights
-    finally:
-        filled.unpersist()
+    checkpoint_dir(daily.sparkSession)
+    days = kpi_frame(daily, trips_col).checkpoint()
+    filled = fill_from_normals(days, normals(days, CLIMATOLOGY_DRIVERS), CLIMATOLOGY_DRIVERS)
+    knots = quantile_knots(filled, "tavg_f", SPLINE_COLUMNS)
+    model = filled.withColumns(dict(zip(_SPLINE, knots.basis(F.col("tavg_f")))))
+    weights = solve(collect_moments(model, ADJUSTED_DESIGN)).weights
     normal = dict(zip(_SPLINE, knots.basis(F.col("tavg_f_normal"))))
     gap: Column = F.lit(0.0)
     for c in _SPLINE:
