@@ -10,7 +10,13 @@ from velomet.functions.bands import band
 from velomet.functions.calendar import clock_hour, is_federal_holiday
 from velomet.functions.flags import clip, condition_label, degree_days, three_valued
 from velomet.functions.geo import great_circle_meters
-from velomet.functions.text import coerce, name_key, observation_value, present_weather_flag
+from velomet.functions.text import (
+    coerce_cells,
+    name_key,
+    observation_cells,
+    observation_number,
+    present_weather_flag,
+)
 from velomet.functions.units import steady_round
 from velomet.operators.weather_hourly import local_time
 
@@ -21,38 +27,44 @@ def column(spark, values, kind, *expressions):
     return [row[1] if len(expressions) == 1 else tuple(row)[1:] for row in rows]
 
 
+def cells(spark, values, kind):
+    df = spark.createDataFrame(list(enumerate(values)), "i int, c string")
+    return [r.c for r in coerce_cells(df, {"c": kind}).orderBy("i").collect()]
+
+
 def test_text_cells(spark):
-    cells = ["497.0", "7079.05", "\\N", "NULL", "  ", " HB102 ", None, "\tA B\n"]
-    assert column(spark, cells, "string", coerce(F.col("c"), "string")) == [
+    raw = ["497.0", "7079.05", "\\N", "NULL", "  ", " HB102 ", None, "\tA B\n"]
+    assert cells(spark, raw, "string") == [
         "497", "7079.05", None, None, None, "HB102", None, "A B",
     ]
 
 
 def test_number_cells(spark):
-    cells = ["438", "12.0", "12.7", "1d", "junk", "\\N", " 7 ", "1e3", "-3", ""]
-    assert column(spark, cells, "string", coerce(F.col("c"), "bigint")) == [
+    raw = ["438", "12.0", "12.7", "1d", "junk", "\\N", " 7 ", "1e3", "-3", ""]
+    assert cells(spark, raw, "bigint") == [
         438, 12, None, None, None, None, 7, 1000, -3, None,
     ]
-    cells = ["1985.0", "\\N", "40.737", ".5", "0x10", "nan"]
-    assert column(spark, cells, "string", coerce(F.col("c"), "double")) == [1985.0, None, 40.737, 0.5, None, None]
+    raw = ["1985.0", "\\N", "40.737", ".5", "0x10", "nan", "1-2", "Infinity"]
+    assert cells(spark, raw, "double") == [1985.0, None, 40.737, 0.5, None, None, None, None]
 
 
 def test_time_cells(spark):
-    cells = [
+    raw = [
         "2016-04-01 00:00:30", "2016-04-01 00:00:30.0", "4/1/2016 0:00:30", "9/1/2014 0:00",
-        "2024-07-15T14:51:00", "2024-03-10 02:30:00", "junk", "",
+        "2024-07-15T14:51:00", "2024-03-10 02:30:00", "junk", "2016", "2016-04",
     ]
-    assert column(spark, cells, "string", coerce(F.col("c"), "timestamp_ntz")) == [
+    assert cells(spark, raw, "timestamp_ntz") == [
         dt.datetime(2016, 4, 1, 0, 0, 30), dt.datetime(2016, 4, 1, 0, 0, 30), dt.datetime(2016, 4, 1, 0, 0, 30),
-        dt.datetime(2014, 9, 1), dt.datetime(2024, 7, 15, 14, 51), dt.datetime(2024, 3, 10, 2, 30), None, None,
+        dt.datetime(2014, 9, 1), dt.datetime(2024, 7, 15, 14, 51), dt.datetime(2024, 3, 10, 2, 30), None, None, None,
     ]
 
 
 def test_observation_values(spark):
-    cells = ["5.6", "T", "0.805s", "3.219V", "VRB", "", "*", None, "NA", " 7.2 "]
-    got = column(spark, cells, "string", observation_value(F.col("c"), True), observation_value(F.col("c")))
-    assert [g[0] for g in got] == [5.6, 0.0, None, 3.219, None, None, None, None, None, 7.2]
-    assert got[1][1] is None
+    raw = ["5.6", "T", "0.805s", "3.219V", "VRB", "", "*", None, "NA", " 7.2 ", "1VV"]
+    df = observation_cells(spark.createDataFrame(list(enumerate(raw)), "i int, c string"), ["c"])
+    got = df.select("i", observation_number(F.col("c"), True), observation_number(F.col("c"))).orderBy("i").collect()
+    assert [g[1] for g in got] == [5.6, 0.0, None, 3.219, None, None, None, None, None, 7.2, None]
+    assert got[1][2] is None
 
 
 def test_present_weather_flags(spark):

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Iterable, Mapping
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from velomet.fixed_values import MISSING_TOKENS, NULL_MARKERS, PRESENT_WEATHER_CODES
 
-_INTEGER = r"^[+-]?\d+$"
-_NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
+# Whitespace removed at both ends, and the characters a plain number may have.
+_SPACES = " \t\n\x0b\f\r"
+_NUMBER_CHARACTERS = "0123456789+-.eE"
 _MONTH_FIRST = r"^(\d{1,2})/(\d{1,2})/(\d{4})(.*)$"
-_HAS_DATE = r"^\d{4}-\d{1,2}-\d{1,2}"
 
 
 def strip(c: Column) -> Column:
     """Remove whitespace of any kind at both ends."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.trim(c, F.lit(_SPACES))
 
 
 def markers_to_null(c: Column) -> Column:
@@ -24,12 +26,7 @@ def markers_to_null(c: Column) -> Column:
 
 def drop_point_zero(c: Column) -> Column:
     """``497.0`` -> ``497``; ``7079.05`` is left alone."""
-    return F.regexp_replace(c, r"\.0$", "")
-
-
-def clean_cell(c: Column) -> Column:
-    """The cell-level cleaning that precedes typing, whatever the target type."""
-    return drop_point_zero(markers_to_null(c))
+    return F.when(c.endswith(".0"), F.substring(c, F.lit(1), F.length(c) - 2)).otherwise(c)
 
 
 def to_text(c: Column) -> Column:
@@ -40,41 +37,60 @@ def to_text(c: Column) -> Column:
 def to_double(c: Column) -> Column:
     """Text to double; anything that is not a plain number becomes NULL.
 
-    The pattern guards against literals a bare cast accepts, such as ``1d``.
+    Literals a bare cast accepts, such as ``1d`` or ``Infinity``, are kept out by the characters
+    a number may have. Cells are tested without patterns, which cost most of a scan of text.
     """
     s = strip(c)
-    return F.when(s.rlike(_NUMBER), s.try_cast("double"))
+    other = F.translate(s, _NUMBER_CHARACTERS, "")
+    return F.when(other == "", s.try_cast("double"))
 
 
 def to_long(c: Column) -> Column:
     """Text to integer; junk and fractional numbers become NULL."""
-    s, number = strip(c), to_double(c)
-    return F.when(s.rlike(_INTEGER), s.try_cast("bigint")).when(
-        number == F.floor(number), number.try_cast("bigint")
-    )
+    number = to_double(c)
+    whole = F.when(number == F.floor(number), number.try_cast("bigint"))
+    return F.coalesce(strip(c).try_cast("bigint"), whole)
 
 
 def to_wall_clock(c: Column) -> Column:
     """Text to a zone-less timestamp over the layouts trip files have used.
 
     Year-first text goes straight to the cast; month-first text is rewritten year-first. No
-    zoned type is involved, so the session time zone cannot shift a value.
+    zoned type is involved, so the session time zone cannot shift a value. A year or month
+    alone is no time: a full date has its second dash after the sixth character.
     """
     s = strip(c)
-    iso = F.when(s.rlike(_MONTH_FIRST), F.regexp_replace(s, _MONTH_FIRST, "$3-$1-$2$4")).otherwise(s)
-    return F.when(iso.rlike(_HAS_DATE), iso.try_cast("timestamp_ntz"))
+    iso = F.when(s.contains("/"), F.regexp_replace(s, _MONTH_FIRST, "$3-$1-$2$4")).otherwise(s)
+    return F.when(F.locate("-", iso, 6) > 0, iso.try_cast("timestamp_ntz"))
 
 
-def coerce(c: Column, type_name: str) -> Column:
-    """A raw text cell as one of the four types trip files use."""
-    cell = clean_cell(c)
+def typed_cell(c: Column, type_name: str) -> Column:
+    """A cleaned text cell as one of the four types trip files use."""
     if type_name == "timestamp_ntz":
-        return to_wall_clock(cell)
+        return to_wall_clock(c)
     if type_name == "bigint":
-        return to_long(cell)
+        return to_long(c)
     if type_name == "double":
-        return to_double(cell)
-    return to_text(cell)
+        return to_double(c)
+    return to_text(c)
+
+
+def clean_cells(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Cell-level cleaning that precedes typing: markers to NULL, then ``.0`` off, then trimmed.
+
+    The steps are separate projections. Later expressions mention a cell several times; with
+    one projection per step each text is worked on once and generated methods stay small.
+    """
+    columns = list(columns)
+    for step in (markers_to_null, drop_point_zero, strip):
+        df = df.withColumns({c: step(F.col(c)) for c in columns})
+    return df
+
+
+def coerce_cells(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Raw text columns cleaned and typed in place."""
+    cleaned = clean_cells(df, types)
+    return cleaned.withColumns({c: typed_cell(F.col(c), kind) for c, kind in types.items()})
 
 
 def missing_to_null(c: Column) -> Column:
@@ -82,24 +98,25 @@ def missing_to_null(c: Column) -> Column:
     return F.when(~c.isin(MISSING_TOKENS), c)
 
 
-def observation_value(c: Column, trace_is_zero: bool = False) -> Column:
-    """One observation cell to double.
+def observation_number(s: Column, trace_is_zero: bool = False) -> Column:
+    """One trimmed observation cell to double.
 
     ``T`` is a trace (0.0 for precipitation, otherwise unusable), a trailing ``s`` marks a
     suspect value (NULL), a trailing ``V`` a variable one (the number stands), ``VRB`` and
     other text are not numbers.
     """
-    s = strip(missing_to_null(c))
+    number = F.when(s.endswith("V"), F.substring(s, F.lit(1), F.length(s) - 1)).otherwise(s)
     trace = F.lit(0.0) if trace_is_zero else F.lit(None).cast("double")
-    return (
-        F.when(s == "T", trace)
-        .when(s.endswith("s"), F.lit(None).cast("double"))
-        .otherwise(to_double(F.regexp_replace(s, "V$", "")))
-    )
+    return F.when(s == "T", trace).otherwise(to_double(number))
+
+
+def observation_cells(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Observation cells trimmed, missing ones NULL, as a projection of their own."""
+    return df.withColumns({c: strip(missing_to_null(F.col(c))) for c in columns})
 
 
-def optional_text(c: Column) -> Column:
-    return F.nullif(strip(missing_to_null(c)), F.lit(""))
+def optional_text(s: Column) -> Column:
+    return F.nullif(s, F.lit(""))
 
 
 def present_weather_flag(c: Column, flag: str) -> Column:

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from velomet.fixed_values import COLUMN_RENAMES, CURRENT_SIGNALS, ERA_COLUMNS, LEGACY_SIGNALS
-from velomet.functions.text import clean_cell, coerce, to_text
+from velomet.functions.text import clean_cells, coerce_cells, to_text, typed_cell
 from velomet.sources.manifest import region_of
 
 
@@ -111,12 +111,13 @@ def align_to_era(raw: DataFrame, era: str, keep: Sequence[str] = ()) -> DataFram
 
     A projection only, so the number of rows cannot change.
     """
-    present = set(raw.columns)
-    typed = [
-        (coerce(F.col(name), kind) if name in present else F.lit(None).cast(kind)).alias(name)
+    present = {name: kind for name, kind in ERA_COLUMNS[era] if name in raw.columns}
+    typed = coerce_cells(raw, present)
+    columns = [
+        F.col(name) if name in present else F.lit(None).cast(kind).alias(name)
         for name, kind in ERA_COLUMNS[era]
     ]
-    return raw.select(*typed, *[c for c in keep if c in present])
+    return typed.select(*columns, *[c for c in keep if c in raw.columns])
 
 
 def quarantine(raw: DataFrame, era: str) -> DataFrame:
@@ -124,17 +125,17 @@ def quarantine(raw: DataFrame, era: str) -> DataFrame:
 
     Columns: source_file, column, value. Count it by column for an error report.
     """
-    present = set(raw.columns)
+    typed = [(n, k) for n, k in ERA_COLUMNS[era] if k != "string" and n in raw.columns]
+    kept = raw.withColumns({f"_raw_{n}": F.col(n) for n, _ in typed})
     bad: list[Column] = []
-    for name, kind in ERA_COLUMNS[era]:
-        if kind == "string" or name not in present:
-            continue
+    for name, kind in typed:
         cell = F.col(name)
-        lost = to_text(clean_cell(cell)).isNotNull() & coerce(cell, kind).isNull()
-        bad.append(F.when(lost, F.struct(F.lit(name).alias("column"), cell.alias("value"))))
-    source = F.col("source_file") if "source_file" in present else F.lit(None).cast("string")
+        lost = to_text(cell).isNotNull() & typed_cell(cell, kind).isNull()
+        bad.append(F.when(lost, F.struct(F.lit(name).alias("column"), F.col(f"_raw_{name}").alias("value"))))
+    source = F.col("source_file") if "source_file" in raw.columns else F.lit(None).cast("string")
     return (
-        raw.select(source.alias("source_file"), F.explode(F.array_compact(F.array(*bad))).alias("cell"))
+        clean_cells(kept, [n for n, _ in typed])
+        .select(source.alias("source_file"), F.explode(F.array_compact(F.array(*bad))).alias("cell"))
         .select("source_file", "cell.column", "cell.value")
     )
 

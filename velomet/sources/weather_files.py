@@ -15,7 +15,13 @@ from velomet.fixed_values import (
     OBSERVATION_NUMBERS,
     OBSERVATION_TEXTS,
 )
-from velomet.functions.text import observation_value, optional_text, strip, to_wall_clock
+from velomet.functions.text import (
+    observation_cells,
+    observation_number,
+    optional_text,
+    strip,
+    to_wall_clock,
+)
 from velomet.sources.trip_files import read_header
 
 LINE_ORDER = ["source_file", "block_start", "line_in_block"]
@@ -63,15 +69,15 @@ def hourly_observations(
     raw: DataFrame, station: str | Column = HOME_STATION, order: Sequence[str] = LINE_ORDER
 ) -> DataFrame:
     """Typed observations: routine and special reports only, each (time, report) once."""
-    present = set(raw.columns)
+    sources = [src for src, *_ in (*OBSERVATION_NUMBERS, *OBSERVATION_TEXTS) if src in raw.columns]
     report = strip(F.col("REPORT_TYPE"))
-    kept = raw.filter(report.isin(KEPT_REPORTS))
+    kept = observation_cells(raw.filter(report.isin(KEPT_REPORTS)), sources)
     numbers = [
-        (observation_value(F.col(src), trace) if src in present else F.lit(None).cast("double")).alias(name)
+        (observation_number(F.col(src), trace) if src in sources else F.lit(None).cast("double")).alias(name)
         for src, name, trace in OBSERVATION_NUMBERS
     ]
     texts = [
-        (optional_text(F.col(src)) if src in present else F.lit(None).cast("string")).alias(name)
+        (optional_text(F.col(src)) if src in sources else F.lit(None).cast("string")).alias(name)
         for src, name in OBSERVATION_TEXTS
     ]
     station_id = F.lit(station) if isinstance(station, str) else station
