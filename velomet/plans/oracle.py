@@ -25,6 +25,7 @@ from velomet.fixed_values import (
     WIND_LABELS,
 )
 from velomet.operators.weather_daily import WEATHER_DAILY_COLUMNS, WEATHER_DAILY_HOME_COLUMNS
+from velomet.plans import oracle_fits as fits
 from velomet.plans.standins import COUNTIES, CUTOVER, ELEMENT_ORDER, TRIANGLE, zip_rectangles
 
 
@@ -375,7 +376,7 @@ def with_ctes(body: str) -> str:
     open_names: set[str] = set()
 
     def visit(sql: str) -> None:
-        for word in re.findall(r"(?i)\b(?:from|join)\s+([a-z_]+)", sql):
+        for word in re.findall(r"(?i)\b(?:from|join)\s+([a-z_0-9]+)", sql):
             if word in CTES and word not in order and word not in open_names:
                 open_names.add(word)
                 visit(CTES[word])
@@ -384,7 +385,7 @@ def with_ctes(body: str) -> str:
     visit(body)
     if not order:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in order) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({CTES[n]})" for n in order) + "\n" + body
 
 
 HOLIDAYS = """WITH ranged AS (SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS n FROM orders GROUP BY 1),
@@ -618,6 +619,17 @@ BODIES["model_bands"] = f"""SELECT {band('tavg_f', MODEL_TEMP_EDGES, MODEL_TEMP_
   FROM joined WHERE date IS NOT NULL AND num_trips > 0 AND tavg_f IS NOT NULL AND wind_avg_mph IS NOT NULL AND prcp_inches IS NOT NULL GROUP BY 1, 2, 3"""
 
 
+CTES |= fits.impact_ctes(band) | fits.hourly_ctes() | fits.adjusted_ctes() | fits.lowess_ctes()
+BODIES |= {
+    "fit_impacts": fits.impacts_sql(r),
+    "fit_humidity": fits.humidity_sql(r),
+    "rain_profile": fits.profile_sql(r),
+    "rain_daypart": fits.daypart_sql(r),
+    "weather_adjusted_trips": fits.adjusted_sql(r),
+    "lowess_grid": fits.lowess_sql(r),
+}
+
+
 def _finish(body: str) -> str:
     """Merge the shared CTEs with a body that brings its own WITH."""
     own = body.lstrip()
