@@ -1,7 +1,8 @@
 """Descriptive answers on the daily and hourly frames.
 
 Inputs are day or hour rows in long form (see ``series.by_segment``). ``by`` names the series
-columns; every answer is computed for all series in one pass.
+columns; every answer is computed for all series in one pass. Exact medians and quartiles keep
+one counter per distinct value of a group, which the calendar bounds at this grain.
 """
 
 from __future__ import annotations
@@ -218,6 +219,20 @@ def amount_days(d: DataFrame, amounts: Sequence[str], by: Sequence[str] = SEGMEN
 
 
 # ---------------------------------------------------------------- adjusted ridership
+def adjusted_slice(
+    adjusted: DataFrame, daily: DataFrame, trips_col: str, first_year: int, last_year: int
+) -> DataFrame:
+    """Adjusted days that the daily mart holds, from the first day with trips, in a year range.
+
+    The launch day travels as a scalar subquery: one value, no join.
+    """
+    launch = daily.filter(F.col(trips_col) > 0).select(F.min("date").alias("launch"))
+    days = daily.select("date", F.year("date").alias("year"))
+    return adjusted.join(days, "date").filter(
+        F.col("year").between(first_year, last_year) & (F.col("date") >= launch.scalar())
+    )
+
+
 def period_totals(adjusted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Actual and adjusted totals and the weather's share in percent."""
     return adjusted.groupBy(*by).agg(

@@ -291,12 +291,19 @@ def cluster_sums(
 
 
 def cluster_factor(groups: int, rows: int, columns: int) -> float:
-    """Usual small-sample factor of clustered covariance."""
+    """Usual small-sample factor of clustered covariance; NaN with one group or no spare row."""
+    if groups < 2 or rows == columns:
+        return float("nan")
     return groups / (groups - 1) * (rows - 1) / (rows - columns)
 
 
-def percent_effect(beta: float, variance: float) -> tuple[float, float, float]:
-    """Log-scale effect and its interval in percent."""
-    se = float(np.sqrt(max(variance, 0.0)))
-    ends = (beta, beta - INTERVAL_Z * se, beta + INTERVAL_Z * se)
-    return tuple(float(np.expm1(b) * 100) for b in ends)
+def percent_effect(beta: float, variance: float) -> tuple[float | None, ...]:
+    """Log-scale effect and its interval in percent.
+
+    With more columns than rows the variance is no number or negative: the interval is NULL.
+    """
+    point = float(np.expm1(beta) * 100)
+    if not variance >= 0:
+        return point, None, None
+    half = INTERVAL_Z * float(np.sqrt(variance))
+    return point, float(np.expm1(beta - half) * 100), float(np.expm1(beta + half) * 100)

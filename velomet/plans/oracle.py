@@ -261,9 +261,9 @@ CTES: dict[str, str] = {
       FROM long_obs WHERE id LIKE 'US%' GROUP BY 1, 2""",
     "derived": f"SELECT {derived_columns()} FROM wide",
     "stations": f"""SELECT CASE WHEN s_suppkey = 0 THEN 'USW00094728' ELSE (CASE WHEN s_suppkey % 10 = 9 THEN 'CA' ELSE 'US' END) || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') END AS id,
-        s_name AS station_name, 'NY' AS state, {lat('s_suppkey')} AS latitude, {lon('s_suppkey')} AS longitude
-      FROM supplier WHERE s_suppkey % 29 <> 28""",
-    "us_stations": "SELECT * FROM stations WHERE id LIKE 'US%'",
+        s_name AS station_name, 'NY' AS state, CASE WHEN s_suppkey % 29 <> 28 THEN {lat('s_suppkey')} END AS latitude, {lon('s_suppkey')} AS longitude
+      FROM supplier""",
+    "us_stations": "SELECT * FROM stations WHERE id LIKE 'US%' AND latitude IS NOT NULL",
     "in_zip": zip_hits("us_stations", "id", "longitude", "latitude"),
     "in_county": county_hits("us_stations", "id"),
     "mapped": """SELECT id AS station_id, station_name, longitude, latitude, zip_code, city, state, county_name FROM (
@@ -437,12 +437,13 @@ def file_name(key: str) -> str:
 
 CTES["listing"] = f"SELECT {file_name('c_custkey')} AS path, c_custkey * 3 % 1000 AS size FROM customer"
 CTES["stored"] = f"""SELECT {file_name('o_custkey')} AS path, o_custkey * 3 % 1000 + CASE WHEN min(o_orderkey) % 5 = 0 THEN 1 ELSE 0 END AS size
-  FROM orders WHERE o_custkey % 2 = 0 GROUP BY o_custkey"""
+  FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey"""
 
 BODIES: dict[str, str] = {
     "trips_unified": f"SELECT * REPLACE ({r('distance_meters', 3)} AS distance_meters) FROM trips",
     "daily_trips": "SELECT * FROM daily",
     "hourly_trips": "SELECT * FROM hourly",
+    "hourly_trips_stream": "SELECT * FROM hourly",
     "hourly_trips_all_years": "SELECT * FROM hourly_all",
     "station_counts_monthly": "SELECT * FROM station_months",
     "station_key_comparison": f"""SELECT CAST(year(start_time) AS INTEGER) AS year, count(DISTINCT start_station_id) AS by_raw_id,
@@ -571,6 +572,8 @@ BODIES: dict[str, str] = {
          AND a.year = (SELECT max(year) FROM adjusted_years c WHERE c.segment = b.segment AND c.year < b.year)
         WHERE b.year = (SELECT max(year) FROM adjusted_years c WHERE c.segment = b.segment))""",
     "period_kpi": f"""SELECT segment, {r('sum(actual)', 4)} AS actual, {r('sum(adjusted)', 4)} AS adjusted, {r('(sum(actual) / sum(adjusted) - 1) * 100', 4)} AS weather_pct FROM adjusted GROUP BY 1""",
+    "adjusted_slice": f"""SELECT date, {r('actual', 6)} AS actual, {r('adjusted', 6)} AS adjusted, CAST(year(date) AS INTEGER) AS year
+      FROM adjusted WHERE segment = 'Jersey City only' AND year(date) BETWEEN 1997 AND 1999""",
     "rolling_28d_adjusted": "SELECT segment, date, " + ", ".join(
         f"{r(c, 6)} AS {c}, {r(f'CASE WHEN count({c}) OVER w >= 7 THEN avg({c}) OVER w END', 6)} AS {c}_28" for c in ("actual", "adjusted")
     ) + " FROM adjusted WINDOW w AS (PARTITION BY segment ORDER BY date RANGE BETWEEN INTERVAL 27 DAY PRECEDING AND CURRENT ROW)",

@@ -88,10 +88,11 @@ def clustered(p: str, frame: str, columns: str) -> dict[str, str]:
 
 
 def ends(r, digits: int = 4) -> str:
-    beta, se = "b", "sqrt(v)"
+    """Effect and interval in percent; no interval where the variance is not a number."""
+    se = "CASE WHEN v >= 0 AND NOT isnan(v) THEN sqrt(v) END"
     return ", ".join(
-        f"{r(f'(exp({beta} {sign} * {se}) - 1) * 100', digits)} AS {name}"
-        for name, sign in (("pct", "+ 0"), ("lo", "- 1.96::DOUBLE"), ("hi", "+ 1.96::DOUBLE"))
+        f"{r(f'(exp(b{shift}) - 1) * 100', digits)} AS {name}"
+        for name, shift in (("pct", ""), ("lo", f" - 1.96::DOUBLE * {se}"), ("hi", f" + 1.96::DOUBLE * {se}"))
     )
 
 

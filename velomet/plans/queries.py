@@ -6,13 +6,13 @@ rounded here, not in the operators.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from velomet.fixed_values import CLIMATOLOGY_DRIVERS, PRESENT_WEATHER_CODES, SEGMENTS
-from velomet.functions.bands import band
 from velomet.functions.calendar import hour_stamp, is_federal_holiday, is_weekend, season, year_month
 from velomet.functions.geo import great_circle_meters
 from velomet.functions.text import name_key, present_weather_flag
@@ -21,9 +21,11 @@ from velomet.operators import climatology, profiles, quality, series, spatial, t
 from velomet.operators.lowess import lowess
 from velomet.operators.regression import Design, cluster_sums, collect_moments, hac_sums, moment_sums, solve
 from velomet.plans import daily_impacts, hourly_rain, standins, weather_adjusted
+from velomet.session import checkpoint_dir
 from velomet.sources import manifest
 from velomet.sources.trip_files import align_to_era, quarantine
 from velomet.sources.weather_files import keep_first
+from velomet.streaming.marts import current_mart, keep_current
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,6 +56,19 @@ def hourly_trips(spark, sf):
     return trip_marts.hourly_trips(standins.event_trips(spark, sf))
 
 
+@query
+def hourly_trips_stream(spark, sf):
+    """The hourly mart brought up to date by a streaming run over the events file."""
+    events = standins.table(spark, sf, "events")
+    stream = (
+        spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    )
+    work = f"{checkpoint_dir(spark)}/hourly-{uuid.uuid4()}"
+    run = keep_current(standins.trips_of_events(stream), trip_marts.hourly_trips, f"{work}/mart", f"{work}/state")
+    run.awaitTermination()
+    return current_mart(spark, f"{work}/mart")
+
+
 @query
 def hourly_trips_all_years(spark, sf):
     return trip_marts.hourly_trips(standins.trips(spark, sf), standins.CUTOVER)
@@ -262,25 +277,34 @@ def shard_antijoin(spark, sf):
     return manifest.csv_members(_trip_manifest(spark, sf))
 
 
+def _file_name(key):
+    return F.concat(
+        F.when(key % 4 == 0, "jc-").otherwise(""),
+        (F.lit(201300) + key % 1200).cast("string"),
+        F.lit("-tripdata-"),
+        key.cast("string"),
+        F.when(key % 9 == 0, ".html").otherwise(".zip"),
+    )
+
+
 def _listing(spark, sf):
     """Customers as published files."""
     key = F.col("c_custkey")
     return standins.table(spark, sf, "customer").select(
-        F.concat(F.when(key % 4 == 0, "jc-").otherwise(""), (F.lit(201300) + key % 1200).cast("string"), F.lit("-tripdata-"), key.cast("string"), F.when(key % 9 == 0, ".html").otherwise(".zip")).alias("path"),
-        (key * 3 % 1000).alias("size"),
+        _file_name(key).alias("path"), (key * 3 % 1000).alias("size")
     )
 
 
 def _stored(spark, sf):
-    """Files of the even customers that ordered, some with another size."""
+    """Files of the customers with a finished order, some of them at another size."""
     key = F.col("o_custkey")
     return (
         standins.table(spark, sf, "orders")
+        .filter(F.col("o_orderstatus") == "F")
         .groupBy("o_custkey")
         .agg(F.min("o_orderkey").alias("o_orderkey"))
-        .filter(key % 2 == 0)
         .select(
-            F.concat(F.when(key % 4 == 0, "jc-").otherwise(""), (F.lit(201300) + key % 1200).cast("string"), F.lit("-tripdata-"), key.cast("string"), F.when(key % 9 == 0, ".html").otherwise(".zip")).alias("path"),
+            _file_name(key).alias("path"),
             (key * 3 % 1000 + F.when(F.col("o_orderkey") % 5 == 0, 1).otherwise(0)).alias("size"),
         )
     )
@@ -589,6 +613,15 @@ def period_kpi(spark, sf):
     return rounded(profiles.period_totals(_adjusted(spark, sf), ["segment"]), ["actual", "adjusted", "weather_pct"], 4)
 
 
+@query
+def adjusted_slice(spark, sf):
+    """Adjusted days of one segment within three years of the daily mart."""
+    mart = standins.trips_with_weather(spark, sf).select("date", "num_jc_trips")
+    adjusted = _adjusted(spark, sf).filter(F.col("segment") == "Jersey City only").drop("segment")
+    df = profiles.adjusted_slice(adjusted, mart, "num_jc_trips", 1997, 1999)
+    return rounded(df, ["actual", "adjusted"])
+
+
 @query
 def rolling_28d_adjusted(spark, sf):
     df = profiles.rolling_adjusted(_adjusted(spark, sf), ["segment"])

@@ -118,8 +118,12 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as current-layout trips of one month; two night hours are empty every third day."""
-    e = table(spark, sf_dir, "events")
+    """Events as trips of one month."""
+    return trips_of_events(table(spark, sf_dir, "events"))
+
+
+def trips_of_events(e: DataFrame) -> DataFrame:
+    """Events, batch or stream, as current-layout trips; two night hours of every third day are empty."""
     ts, user = F.col("ts"), F.col("user_id")
     night = F.hour(ts).isin(2, 3) & (F.dayofmonth(ts) % 3 == 0)
     start = F.when(night, _after(ts, F.lit(7200))).otherwise(ts)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,11 +38,17 @@ def build_session(app: str = "velomet", master: str | None = None, **conf: str)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster; a scratch one only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared checkpoint folder the session names.
+
+    A scratch folder stands in for it only on one machine; a cluster has to name its own, since a
+    folder local to one machine would not survive that machine.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
-        current = spark.sparkContext.getCheckpointDir()
-        named = current or os.path.join(tempfile.mkdtemp(prefix="velomet-"), "checkpoints")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        named = tempfile.mkdtemp(prefix="velomet-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
     return named
