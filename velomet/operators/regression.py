@@ -19,7 +19,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -61,36 +60,41 @@ class Design:
         """Rows on which every column of the model is known."""
         return df.dropna(subset=[self.outcome, *self.numbers, *self.levels])
 
+    def _position(self, column: str) -> str:
+        """SQL for the 1-based position of a row's level, 0 when it is not listed."""
+        texts = ", ".join(_literal(v) for v in self.levels[column])
+        return f"array_position(array({texts}), `{column}`)"
+
     def sparse(self) -> Column:
         """Row as sorted ``array<struct<i int, v double>>`` without zeros."""
-
-        def entry(i: Column, v: Column) -> Column:
-            return F.struct(i.cast("int").alias("i"), v.cast("double").alias("v"))
-
-        entries = [
-            entry(F.lit(ONE), F.lit(1.0)),
-            entry(F.lit(OUTCOME), F.col(self.outcome)),
-        ]
+        entries = [(f"{ONE}", "1D"), (f"{OUTCOME}", f"CAST(`{self.outcome}` AS DOUBLE)")]
         at = 2
         for c in self.numbers:
-            entries.append(entry(F.lit(at), F.col(c)))
+            entries.append((f"{at}", f"CAST(`{c}` AS DOUBLE)"))
             at += 1
         for c, values in self.levels.items():
-            position = F.array_position(F.array(*[F.lit(v) for v in values]), F.col(c))
-            entries.append(entry(position + F.lit(at - 1), F.when(position > 0, 1.0).otherwise(0.0)))
+            position = self._position(c)
+            entries.append((f"CAST({position} + {at - 1} AS INT)", f"IF({position} > 0, 1D, 0D)"))
             at += len(values)
-        return F.filter(F.array(*entries), lambda e: (e["v"] != 0) | (e["i"] <= OUTCOME))
+        structs = ", ".join(f"named_struct('i', {i}, 'v', {v})" for i, v in entries)
+        return F.expr(f"filter(array({structs}), e -> e.v != 0 OR e.i <= {OUTCOME})")
 
     def score(self, weights: Mapping[str, float]) -> Column:
         """Weighted sum of a row's regressors; columns without a weight count 0."""
-        terms = [F.lit(weights[c]) * F.col(c) for c in self.numbers if weights.get(c)]
+        terms = [f"{_literal(weights[c])} * `{c}`" for c in self.numbers if weights.get(c)]
         for c, values in self.levels.items():
             lookup = [float(weights.get(f"{c}={v}", 0.0)) for v in values]
             if any(lookup):
-                position = F.array_position(F.array(*[F.lit(v) for v in values]), F.col(c))
-                table = F.array(*[F.lit(w) for w in lookup])
-                terms.append(F.coalesce(F.get(table, (position - 1).cast("int")), F.lit(0.0)))
-        return reduce(lambda a, b: a + b, terms, F.lit(0.0))
+                table = ", ".join(_literal(w) for w in lookup)
+                terms.append(f"coalesce(get(array({table}), CAST({self._position(c)} - 1 AS INT)), 0D)")
+        return F.expr(" + ".join(["0D", *terms]))
+
+
+def _literal(value) -> str:
+    """A level or weight as a SQL literal; one parsed text replaces many small column calls."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else repr(value)
 
 
 def _pair_sums(arrays: DataFrame, value: Column, name: str) -> DataFrame:

@@ -25,6 +25,12 @@ from velomet.operators.regression import Design, collect_moments, hac_sums, perc
 EFFECT_SCHEMA = "label string, `group` string, pct double, lo double, hi double"
 WEEKDAYS = list(range(7))
 
+# Columns of the daily mart the models read, next to the date and a trips column.
+MODEL_COLUMNS = [
+    "tavg_f", "prcp_inches", "snow_inches", "snow_depth_inches", "wind_avg_mph", "dewpoint_f",
+    "is_thunder", "is_foggy",
+]
+
 IMPACT_DESIGN = Design(
     outcome="logy",
     numbers=(
@@ -135,13 +141,22 @@ def _representative_days(frame: DataFrame) -> dict[str, float]:
 def fit_impacts(daily: DataFrame, trips_col: str) -> tuple[DataFrame, dict]:
     """Effects (label, group, pct, lo, hi) and meta (n, R2 of controls and full, partial R2).
 
-    A slice without usable days gives no effects and ``n`` 0. Month effects are absorbed, so the number of months does not widen the system.
+    The columns the models read are kept while both fits run, so the mart is computed once. A
+    slice without usable days gives no effects and ``n`` 0. Month effects are absorbed, so the number of months does not widen the system.
     """
-    frame = impact_frame(daily, trips_col).persist()
+    days = daily.select("date", trips_col, *MODEL_COLUMNS).persist()
+    try:
+        return _fit_impacts(days, trips_col)
+    finally:
+        days.unpersist()
+
+
+def _fit_impacts(days: DataFrame, trips_col: str) -> tuple[DataFrame, dict]:
+    frame = impact_frame(days, trips_col).persist()
     try:
         moments = collect_moments(frame, IMPACT_DESIGN)
         if moments.n == 0:
-            return daily.sparkSession.createDataFrame([], EFFECT_SCHEMA), {"n": 0}
+            return days.sparkSession.createDataFrame([], EFFECT_SCHEMA), {"n": 0}
         fit = solve(moments)
         controls = solve(
             moments, moments.number_columns(["holiday"]) + moments.level_columns("dow")
@@ -159,7 +174,7 @@ def fit_impacts(daily: DataFrame, trips_col: str) -> tuple[DataFrame, dict]:
         else:  # no day of that kind occurred
             effect = (None, None, None)
         rows.append((label, group, *effect))
-    humidity = humidity_impact(daily, trips_col)
+    humidity = humidity_impact(days, trips_col)
     if humidity is not None:
         rows.append(
             ("+10°F muggier (warm days)", EFFECT_GROUPS["humidity"], humidity.p10, humidity.lo10, humidity.hi10)
@@ -173,7 +188,7 @@ def fit_impacts(daily: DataFrame, trips_col: str) -> tuple[DataFrame, dict]:
         "r2_full": r2_full,
         "weather_partial_r2": (r2_full - r2_controls) / (1 - r2_controls),
     }
-    return daily.sparkSession.createDataFrame(rows, EFFECT_SCHEMA), meta
+    return days.sparkSession.createDataFrame(rows, EFFECT_SCHEMA), meta
 
 
 def _impact_contrasts(typical: dict[str, float]) -> dict[str, tuple[str, dict[str, float]]]:

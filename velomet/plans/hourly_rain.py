@@ -103,9 +103,14 @@ def rain_by_daypart(hourly: DataFrame, trips_col: str) -> tuple[DataFrame, dict]
 
 
 def rain_by_rider(hourly: DataFrame, member_col: str, casual_col: str) -> DataFrame:
-    """Daypart effects of both rider types, stacked."""
-    member, _ = rain_by_daypart(hourly, member_col)
-    casual, _ = rain_by_daypart(hourly, casual_col)
+    """Daypart effects of both rider types, stacked. The mart is computed once for both fits."""
+    columns = ["date", "hour", member_col, casual_col, "is_raining", "is_snowing", "prcp_inches"]
+    hours = hourly.select(*dict.fromkeys(columns)).persist()
+    try:
+        member, _ = rain_by_daypart(hours, member_col)
+        casual, _ = rain_by_daypart(hours, casual_col)
+    finally:
+        hours.unpersist()
     return member.withColumn("rider", F.lit("Member")).unionByName(
         casual.withColumn("rider", F.lit("Casual"))
     )
