@@ -14,14 +14,11 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Per-day medians keep one small sketch per day; the stock limit of 128 keys would
-    # send a task that sees more days than that back to sorting its raw rows.
     # The JVM leaves methods over 8000 bytes uncompiled. Wide projections of text cells exceed
     # that as one generated method; under this limit Spark splits them instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Recording the Python call site of every column expression costs seconds per wide plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",
 }
 
 
