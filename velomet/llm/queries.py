@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from velomet.llm import bpe, mixing, pii, quality, simhash
+from velomet.llm import bpe, mixing, pii, quality, simhash, topk
 from velomet.llm.work import table
 
 
@@ -22,6 +22,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs))
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.report(table(spark, sf_dir, "embeddings"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "copies", "taken")
 
@@ -34,6 +38,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
     "op3_quality": op3_quality,
+    "op4_topk": op4_topk,
     "op8_mixing": op8_mixing,
     "op9_pii": op9_pii,
 }
