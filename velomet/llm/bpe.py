@@ -16,6 +16,7 @@ import functools
 import heapq
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 
 #: White space as the file's \s has it (the Unicode property).
 SPACE = "\t-\r \x85\xa0  -     　"
-#: Pieces remembered by a Python worker; forgetting them costs time only.
-REMEMBERED = 250_000
+#: Pieces remembered by a Python worker, in each of two generations; forgetting them costs time only.
+REMEMBERED = 300_000
 #: Longest piece, in bytes, that is merged by scans.
 SHORT = 256
 NEVER = 1 << 60
@@ -57,6 +58,7 @@ class Codec:
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
         self.names = {i: t for t, i in (ids | self.special).items()}
         self.known: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))))
         parts = file["pre_tokenizer"]["pretokenizers"]
         self.piece = regex.compile(parts[0]["pattern"]["Regex"].replace("\\s", SPACE))
@@ -101,39 +103,43 @@ class Codec:
                     heapq.heappush(heap, (x, a))
         return [p for p in parts if p >= 0]
 
-    def ordinary(self, text: str) -> Iterator[list[int]]:
-        """Ids of the pieces of a text without special tokens."""
+    def learn(self, piece: str) -> list[int]:
+        """Ids of a piece that is not among the recent ones."""
+        ids = self.older.get(piece) or self.merge(piece)
+        if len(piece) <= 64:
+            if len(self.known) >= REMEMBERED:
+                self.older = dict(self.known)
+                self.known.clear()
+            self.known[piece] = ids
+        return ids
+
+    def ordinary(self, text: str, out: list[int]) -> None:
+        """Appends the ids of a text without special tokens."""
         # White space only parts pieces, so making each run of it one space changes nothing. The file
         # lowers letter by letter: a last sigma is no special case, unlike in str.lower.
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        known = self.known
+        find = self.known.get
         for piece in self.piece.findall(text):
-            if (ids := known.get(piece)) is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                ids = self.merge(piece)
-                if len(piece) <= 64:
-                    known[piece] = ids
-            yield ids
+            out += find(piece) or self.learn(piece)
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
         at = 0
         for m in self.cut.finditer(text):
-            for ids in self.ordinary(text[at : m.start()]):
-                out += ids
+            self.ordinary(text[at : m.start()], out)
             out.append(self.special[m[0]])
             at = m.end()
-        for ids in self.ordinary(text[at:] if at else text):
-            out += ids
+        self.ordinary(text[at:] if at else text, out)
         return out
 
     def decode(self, ids: Iterable[int], skip_special: bool = False) -> str:
         """The file names no decoder, so the tokens stand side by side with a space between; ids outside
         the vocabulary give nothing."""
         names = self.names
-        dropped = set(self.special.values()) if skip_special else set()
-        return " ".join([names[i] for i in ids if i in names and i not in dropped])
+        if skip_special:
+            dropped = set(self.special.values())
+            ids = [i for i in ids if i not in dropped]
+        return " ".join([names[i] for i in ids if i in names])
 
 
 @functools.lru_cache(maxsize=2)
@@ -159,9 +165,9 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):  # ids of so many texts at a time
                 part = batch.slice(at, 500)
-                found = [np.array(own.encode(t.as_py() or ""), dtype=np.int32) for t in part.column(1)]
+                found = [array("i", own.encode(t.as_py() or "")) for t in part.column(1)]
                 ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                flat = pa.array(np.concatenate(found), pa.int32())
+                flat = pa.array(np.concatenate([np.frombuffer(x, np.int32) for x in found]))
                 ids = pa.ListArray.from_arrays(pa.array(ends), flat)
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
 
@@ -179,12 +185,15 @@ def decode(encoded: DataFrame, path: str, skip_special: bool = False) -> DataFra
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                texts = [own.decode(ids.as_py() or (), skip_special) for ids in part.column(1)]
+                found = part.column(1)
+                flat, ends = found.values.to_numpy(), found.offsets.to_pylist()
+                texts = [own.decode(flat[a:b].tolist(), skip_special) for a, b in zip(ends, ends[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"]
                 )
 
-    return encoded.select("doc_id", "ids").mapInArrow(each, "doc_id long, ids array<int>, decoded string")
+    ids = F.coalesce("ids", F.array().cast("array<int>")).alias("ids")
+    return encoded.select("doc_id", ids).mapInArrow(each, "doc_id long, ids array<int>, decoded string")
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
