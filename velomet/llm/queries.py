@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from velomet.llm import bpe, forest, mixing, pii, quality, simhash, topk
+from velomet.llm import bpe, chat, forest, mixing, pii, quality, simhash, topk
 from velomet.llm.work import table
 
 
@@ -26,6 +26,10 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.report(table(spark, sf_dir, "embeddings"))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.report(table(spark, sf_dir, "conversations"))
+
+
 def op6_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -43,9 +47,12 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_quality": op3_quality,
     "op4_topk": op4_topk,
+    "op5_chat": op5_chat,
     "op6_forest": op6_forest,
     "op8_mixing": op8_mixing,
     "op9_pii": op9_pii,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op5_chat": chat.REPORT_SQL,
+}
