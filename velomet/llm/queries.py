@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from velomet.llm import bpe, chat, forest, mixing, pii, quality, simhash, topk
+from velomet.llm import bpe, chat, forest, langid, mixing, pii, quality, simhash, topk
 from velomet.llm.work import table
 
 
@@ -42,6 +42,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "pages"), langid.fit(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
@@ -51,6 +55,7 @@ QUERIES = {
     "op6_forest": op6_forest,
     "op8_mixing": op8_mixing,
     "op9_pii": op9_pii,
+    "op10_langid": op10_langid,
 }
 
 ORACLE_SQL = {
