@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from velomet.llm import bpe, chat, forest, langid, mixing, pii, quality, simhash, topk
+from velomet.llm import bpe, chat, forest, hpylm, langid, mixing, pii, quality, simhash, topk
 from velomet.llm.work import table
 
 
@@ -34,6 +34,10 @@ def op6_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op7_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hpylm.score(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "copies", "taken")
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op4_topk": op4_topk,
     "op5_chat": op5_chat,
     "op6_forest": op6_forest,
+    "op7_hpylm": op7_hpylm,
     "op8_mixing": op8_mixing,
     "op9_pii": op9_pii,
     "op10_langid": op10_langid,
