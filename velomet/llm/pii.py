@@ -8,8 +8,8 @@ Kinds, in the order that breaks ties:
   email [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+, ip [0-9]+(\\.[0-9]+){3} with parts up to 255,
   card [0-9]([\\x20-]?[0-9])+ of 12 to 19 digits that pass Luhn's test,
   phone \\+[0-9][\\x20().0-9-]+[0-9] of 9 to 15 digits.
-* url: a scheme, "://", a host, and what follows up to white space, quotes or brackets, without closing
-  punctuation, if it holds user data: a part before "@", or a query.
+* url: a scheme, "://", and what follows up to white space, quotes or brackets, without closing punctuation,
+  if it names a user: a part before "@" ahead of the host.
 * account: an IBAN with right check digits after the cue "IBAN", or 6 to 18 digits after a cue such as
   "account no.".
 * secret: 20 or more letters and digits of a kind, both occurring, after a cue such as "token =".
@@ -173,7 +173,7 @@ def find(text: str) -> list[tuple[int, str, int]]:
             while end > last + 1 and text[end - 1] in ".,;:!?)":
                 end -= 1
             rest = text[last + 1 : end]
-            if LABEL.match(rest) and ("@" in rest.split("/", 1)[0] or "?" in rest):
+            if LABEL.match(rest) and "@" in rest.split("/", 1)[0]:
                 found["url"].append((first, end))
         else:
             if first and (text[first - 1].isalnum() or text[first - 1] == "_"):
