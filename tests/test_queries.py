@@ -4,9 +4,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 from parity import compare, connect
-
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+from velomet.plans.oracle import ORACLE_SQL as SQL
+from velomet.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +15,9 @@ def con(sf_dir):
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
+    assert QUERIES.items() <= entry_points.queries().items()
+    assert SQL.items() <= entry_points.oracle_sql().items()
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):
