@@ -118,7 +118,8 @@ def plan(
     goals = targets(places.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, most)
     goals = goals.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     # One offset in [0, 1) per source, from the seed and its name.
-    offset = F.pmod(F.xxhash64(F.coalesce("source", F.lit("")), F.col("source").isNull(), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    named = F.concat(F.lit(f"{seed}:"), F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null")))
+    offset = F.conv(F.substring(F.md5(named.cast("binary")), 1, 7), 16, 10).cast("double") / float(16**7)
     goals = goals.withColumn("offset", offset)
     places = places.alias("p").join(goals.alias("g"), F.expr("p.source <=> g.source")).select(
         "task", "p.source", "first", "before", "source_size", "target", "rate", "offset"
@@ -150,3 +151,39 @@ def mixed(docs: DataFrame, **how) -> DataFrame:
     return taken.select(
         F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy_no"), "doc_id", "source", *(f"c_{c}" for c in plain)
     ).select(*(F.col(c) if c in ("doc_id", "source") else F.col(f"c_{c}").alias(c) for c in docs.columns))
+
+
+PLAN_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source
+), weighted AS (
+  SELECT *, CAST(CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS DOUBLE) AS weight
+  FROM sources
+), filling AS (
+  SELECT *, 2.0::DOUBLE * source_size / weight AS full_at FROM weighted
+), run AS (
+  SELECT *, row_number() OVER line AS no,
+         1.5::DOUBLE * (SELECT sum(source_size) FROM sources) AS total, (SELECT sum(weight) FROM weighted) AS all_weight,
+         coalesce(sum(2.0::DOUBLE * source_size) OVER (line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS filled,
+         coalesce(sum(weight) OVER (line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used
+  FROM filling WINDOW line AS (ORDER BY full_at, source IS NULL, source)
+), levels AS (
+  SELECT *, (total - filled) / (all_weight - used) AS level FROM run
+), ended AS (
+  SELECT arg_min(level, no) AS fin FROM levels WHERE full_at >= level
+), goals AS (
+  SELECT source, source_size, least(2.0::DOUBLE * source_size, weight * coalesce(fin, CAST('inf' AS DOUBLE))) AS target,
+         CAST('0x' || substr(md5('20240:' || coalesce('=' || source, 'null')), 1, 7) AS BIGINT) / CAST(268435456 AS DOUBLE) AS shift
+  FROM levels, ended
+), lined AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, doc_id NULLS FIRST) AS place FROM sized
+), taken AS (
+  SELECT l.doc_id, l.size, g.source_size, g.target,
+         CAST(floor(place * rate + shift) - floor((place - 1) * rate + shift) AS BIGINT) AS copies
+  FROM lined l JOIN (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM goals) g
+    ON l.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM taken
+"""
