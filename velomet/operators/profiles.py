@@ -145,8 +145,13 @@ def month_year_mean(d: DataFrame, by: Sequence[str] = SEGMENT) -> DataFrame:
     )
 
 
-def month_year_table(d: DataFrame, years: Sequence[int]) -> DataFrame:
-    """Months as 12 rows, the given years as columns; cells without days are NULL."""
+def month_year_table(d: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
+    """Months as 12 rows, years as columns; cells without days are NULL.
+
+    Without ``years``, every year that occurs has a column; that takes a job over the daily mart.
+    """
+    if years is None:
+        years = [r["year"] for r in d.select("year").distinct().orderBy("year").collect() if r["year"] is not None]
     months = d.sparkSession.range(1, 13).select(F.col("id").cast("int").alias("month"))
     means = (
         d.groupBy(F.month("date").alias("month"))

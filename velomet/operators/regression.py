@@ -26,7 +26,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from velomet.fixed_values import HAC_MAX_LAGS, INTERVAL_Z
 
 ONE, OUTCOME = 0, 1
-MAX_COLUMNS = 2000
 RANK_TOLERANCE = 1e-10
 
 
@@ -110,8 +109,6 @@ def moment_sums(df: DataFrame, design: Design) -> DataFrame:
     Row pairs and group pairs are both combined below the shuffle; what travels is at most
     k(k+1)/2 sums per task. Groups of any size are fine: they are summed before they meet.
     """
-    if len(design.names) > MAX_COLUMNS:
-        raise ValueError(f"{len(design.names)} columns; absorb the widest categorical instead")
     rows = design.complete(df).select(*design.groups(), design.sparse().alias("f"))
     product = F.col("a.v") * F.col("b.v")
     raw = _pair_sums(rows.select("f", F.lit(1.0).alias("n")), product, "raw")

@@ -466,7 +466,7 @@ BODIES: dict[str, str] = {
       FROM (SELECT *, timezone('America/New_York', timezone('Etc/GMT+5', t)) AS z FROM
         (SELECT l_orderkey, l_linenumber, l_shipdate + to_minutes((l_orderkey * 61 + l_linenumber * 7) % 1440) AS t FROM lineitem))""",
     "text_flags": "SELECT doc_id, " + ", ".join(
-        f"CAST(CASE WHEN length(text) > 40 AND regexp_matches(translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), '{code}') THEN 1 ELSE 0 END AS INTEGER) AS {flag}"
+        f"CAST(CASE WHEN trim(text, ' ') <> '' AND regexp_matches(translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), '{code}') THEN 1 ELSE 0 END AS INTEGER) AS {flag}"
         for flag, code in PRESENT_WEATHER_CODES.items()
     ) + " FROM documents",
     "clean_markers": f"""SELECT row_id, CASE WHEN row_id % 11 IN (0, 1, 2) THEN NULL ELSE price END AS trip_duration,
@@ -510,9 +510,9 @@ BODIES: dict[str, str] = {
     "comfort_medians": f"""SELECT segment, {band('dewpoint_f', COMFORT_EDGES, COMFORT_LABELS)} AS band, {r('median(ridership_index)', 6)} AS ridership_index FROM days
       WHERE tavg_f >= 68 AND dewpoint_f IS NOT NULL AND ridership_index IS NOT NULL GROUP BY 1, 2""",
     "month_year_mean": f"SELECT segment, CAST(month(date) AS INTEGER) AS month, year, {r('avg(trips)', 6)} AS trips FROM days GROUP BY 1, 2, 3",
-    "month_year_table": "SELECT CAST(g.month AS INTEGER) AS month, " + ", ".join(
-        f"{r(f'avg(trips) FILTER (WHERE year = {y})', 6)} AS y{y}" for y in range(1995, 2002)
-    ) + " FROM (SELECT unnest(generate_series(1, 12)) AS month) g LEFT JOIN days d ON month(d.date) = g.month AND d.segment = 'NYC only' GROUP BY 1",
+    "month_year_table": f"""SELECT CAST(g.month AS INTEGER) AS month, CAST(y.year AS VARCHAR) AS year, {r('avg(trips)', 6)} AS trips
+      FROM (SELECT unnest(generate_series(1, 12)) AS month) g CROSS JOIN (SELECT DISTINCT year FROM days WHERE segment = 'NYC only') y
+      LEFT JOIN days d ON month(d.date) = g.month AND d.year = y.year AND d.segment = 'NYC only' GROUP BY 1, 2""",
     "calendar_month_mean": f"SELECT segment, CAST(month(date) AS INTEGER) AS m, monthname(date) AS month, {r('avg(trips)', 6)} AS trips FROM days GROUP BY 1, 2, 3",
     "five_number": f"""WITH known AS (SELECT segment, condition, trips FROM ({{days}}) WHERE tavg_f IS NOT NULL AND condition IS NOT NULL),
       box AS (SELECT segment, condition, count(*) AS n, quantile_cont(trips, 0.25) AS q1, quantile_cont(trips, 0.5) AS median, quantile_cont(trips, 0.75) AS q3,

@@ -175,7 +175,7 @@ def tz_local_key(spark, sf):
 @query
 def text_flags(spark, sf):
     """Present-weather code flags over whole document texts, blank texts as NULL."""
-    text = F.when(F.length("text") > 40, F.translate("text", ascii_lowercase, ascii_uppercase))
+    text = F.when(F.trim("text") != "", F.translate("text", ascii_lowercase, ascii_uppercase))
     return standins.table(spark, sf, "documents").select(
         "doc_id", *[present_weather_flag(text, f).alias(f) for f in PRESENT_WEATHER_CODES]
     )
@@ -445,10 +445,11 @@ def month_year_mean(spark, sf):
 
 @query
 def month_year_table(spark, sf):
-    years = list(range(1995, 2002))
+    """The table of all years that occur, turned to one row per month and year."""
     d = _daily(spark, sf).filter(F.col("segment") == "NYC only")
-    df = profiles.month_year_table(d, years).select("month", *[F.col(str(y)).alias(f"y{y}") for y in years])
-    return rounded(df, [f"y{y}" for y in years])
+    table = profiles.month_year_table(d)
+    years = [c for c in table.columns if c != "month"]
+    return rounded(table.unpivot("month", years, "year", "trips"), ["trips"])
 
 
 @query

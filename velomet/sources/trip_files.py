@@ -8,6 +8,7 @@ the driver.
 from __future__ import annotations
 
 import csv
+import re
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -25,21 +26,29 @@ class UnknownLayout(ValueError):
     """A header that carries the signals of neither layout."""
 
 
+#: What may stand between the words of a header cell, and what is left out of them.
+_BETWEEN, _LEFT_OUT = re.compile(r"[\s_-]+"), re.compile(r"[()]")
+
+
 def normalize_column(name: str) -> str:
-    """Canonical spelling of one raw header cell."""
-    words = name.strip().lower().translate(str.maketrans({" ": "_", "-": "_", "(": "", ")": ""}))
-    while "__" in words:
-        words = words.replace("__", "_")
-    return COLUMN_RENAMES.get(words, words)
+    """Canonical spelling of one raw header cell: its words in lower case, joined by underscores."""
+    parts = [part for part in _BETWEEN.split(_LEFT_OUT.sub("", name).lower()) if part]
+    spelled = "_".join(parts)
+    return COLUMN_RENAMES.get(spelled, spelled)
 
 
 def detect_era(header: Iterable[str]) -> str:
-    """Layout of a file, judged by its header and never by its name."""
-    names = {normalize_column(h) for h in header}
-    for era, signals in (("current", CURRENT_SIGNALS), ("legacy", LEGACY_SIGNALS)):
-        if names & signals:
-            return era
-    raise UnknownLayout(f"no known layout has the columns {sorted(names)}")
+    """Layout of a file, judged by its header and never by its name.
+
+    The layouts share most columns, so the ones only one of them has decide. A column of the newer
+    layout outweighs any of the older one, which exports of the changeover still carry.
+    """
+    columns = sorted({normalize_column(cell) for cell in header})
+    signs = dict.fromkeys(LEGACY_SIGNALS, "legacy") | dict.fromkeys(CURRENT_SIGNALS, "current")
+    seen = {signs[column] for column in columns if column in signs}
+    if not seen:
+        raise UnknownLayout(f"no known layout has the columns {columns}")
+    return min(seen)
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
@@ -93,6 +102,27 @@ def plan_files(spark: SparkSession, paths: Sequence[str], threads: int = 16) ->
     return plan
 
 
+def without_damaged_files(spark: SparkSession, plan: FilePlan, threads: int = 8) -> FilePlan:
+    """The plan without files whose body cannot be read to the end, such as a cut-off archive.
+
+    Each file is read through once in a small job of its own, so use it on files that have just arrived.
+    """
+    paths = [path for group in plan.groups for path in group.paths]
+
+    def read_through(path: str) -> int:
+        return spark.read.text(path).count()
+
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        outcomes = {path: pool.submit(read_through, path) for path in paths}
+    errors = {path: str(e).splitlines()[0] for path, o in outcomes.items() if (e := o.exception())}
+    groups = []
+    for group in plan.groups:
+        good = tuple(path for path in group.paths if path not in errors)
+        if good:
+            groups.append(HeaderGroup(group.era, group.columns, good))
+    return FilePlan(groups, plan.errors | errors)
+
+
 def read_raw(spark: SparkSession, group: HeaderGroup) -> DataFrame:
     """One header group as text columns plus ``source_file``; blank cells arrive as NULL."""
     schema = ", ".join(f"`{name}` string" for name in group.columns)
@@ -155,13 +185,32 @@ def typed_trips(spark: SparkSession, plan: FilePlan, era: str) -> DataFrame | No
     )
 
 
+#: Tasks that write one month of one region and layout at most.
+FOLDER_SLICES = 8
+
+
+def months_between(first: str | None = None, before: str | None = None) -> Column:
+    """Condition on ``start_month`` that a start time in [first, before) implies; times as ISO text."""
+    month, bound = F.col("start_month").cast("string"), F.lit(True)
+    if first is not None:
+        bound &= month >= first[:7]
+    if before is not None:
+        bound &= month <= before[:7]
+    return bound
+
+
 def write_typed(trips: DataFrame, folder: str, mode: str = "append") -> None:
-    """Typed Parquet routed by region, layout and month, so day filters prune folders.
+    """Typed Parquet routed by region, layout and month.
 
-    Rows without a start time land in the default partition and stay readable.
+    A filter on ``start_month`` prunes folders; ``months_between`` derives one from a time range. Rows are
+    dealt by folder and a few slices of its rows first, so a task opens few folders and a month gets few
+    files. Rows without a start time land in the default partition and stay readable.
     """
+    keys = ["region", "source_era", "start_month"]
+    slice_ = F.pmod(F.xxhash64("start_time"), F.lit(FOLDER_SLICES))
     (
         trips.withColumn("start_month", F.date_format("start_time", "yyyy-MM"))
+        .repartition(*keys, slice_)
         .write.mode(mode)
         .partitionBy("region", "source_era", "start_month")
         .parquet(folder)

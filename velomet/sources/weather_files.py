@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -27,16 +29,38 @@ from velomet.sources.trip_files import read_header
 LINE_ORDER = ["source_file", "block_start", "line_in_block"]
 
 
-def read_observation_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+NEEDED = {"DATE", "REPORT_TYPE"}
+
+
+def read_observation_csv(
+    spark: SparkSession, paths: Sequence[str], errors: dict[str, str] | None = None, threads: int = 16
+) -> DataFrame:
     """Station-year files as text columns, with the order of the lines made explicit.
 
     Splits of one file are ordered by their block start and lines within a split by a
     running id, so "first in the file" stays well defined when a file is read in parallel.
-    Files may differ in their columns.
+    Files may differ in their columns. A file that cannot be opened or lacks the date or the
+    report type is put into ``errors`` with the reason and skipped; without ``errors`` it
+    raises. No usable file gives no rows.
     """
+
+    def header_of(path: str) -> tuple[str, ...]:
+        header = tuple(read_header(spark, path))
+        if missing := NEEDED - set(header):
+            raise ValueError(f"no column {sorted(missing)}")
+        return header
+
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        pending = {path: pool.submit(header_of, path) for path in paths}
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        by_header.setdefault(tuple(read_header(spark, path)), []).append(path)
+    for path, outcome in pending.items():
+        problem = outcome.exception()
+        if problem is None:
+            by_header.setdefault(outcome.result(), []).append(path)
+        elif errors is None:
+            raise problem
+        else:
+            errors[path] = str(problem)
     frames = []
     for header, group in by_header.items():
         schema = ", ".join(f"`{name}` string" for name in header)
@@ -49,10 +73,10 @@ def read_observation_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame
             .withColumn("block_start", F.col("_metadata.file_block_start"))
             .withColumn("line_in_block", F.monotonically_increasing_id())
         )
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame, allowMissingColumns=True)
-    return result
+    if not frames:
+        texts = ", ".join(f"{name} string" for name in sorted(NEEDED))
+        return spark.createDataFrame([], f"{texts}, source_file string, block_start bigint, line_in_block bigint")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -96,18 +120,28 @@ def hourly_observations(
 
 
 def write_hourly_observations(observations: DataFrame, folder: str) -> None:
-    """Typed Parquet by year, time-ordered inside each file."""
+    """Typed Parquet by year and station, time-ordered inside each file.
+
+    What a run brings replaces the same station-years and leaves all others as they are, so years can
+    come one after another and a year can be loaded again. A station-year has to come whole.
+    """
     (
-        observations.withColumn("year", F.year("obs_time_lst"))
-        .repartition("year", "station_id")
-        .sortWithinPartitions("year", "obs_time_lst", "report_type")
+        observations.withColumns({"year": F.year("obs_time_lst"), "station": F.col("station_id")})
+        .repartition("year", "station")
+        .sortWithinPartitions("year", "station", "obs_time_lst", "report_type")
         .write.mode("overwrite")
-        .partitionBy("year")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("year", "station")
         .option("compression", "snappy")
         .parquet(folder)
     )
 
 
+def read_hourly_observations(spark: SparkSession, folder: str) -> DataFrame:
+    """What write_hourly_observations has stored, with ``year`` for pruning."""
+    return spark.read.parquet(folder).drop("station")
+
+
 def daily_elements() -> list[str]:
     """The 19 element codes the daily mart uses."""
     return [
@@ -118,15 +152,19 @@ def daily_elements() -> list[str]:
 
 
 def read_daily_observations(
-    spark: SparkSession, folder: str, first_year: int = 1750, last_year: int = 2030
+    spark: SparkSession, folder: str, first_year: int | None = None, last_year: int | None = None
 ) -> DataFrame:
     """Long daily observations of US stations from folders partitioned by ``year``.
 
-    The year range prunes folders; station prefix and element list reach the Parquet scan.
+    A year bound, where the caller gives one, prunes folders; station prefix and element list reach the
+    Parquet scan.
     """
+    daily = spark.read.parquet(folder)
+    if first_year is not None:
+        daily = daily.filter(F.col("year") >= first_year)
+    if last_year is not None:
+        daily = daily.filter(F.col("year") <= last_year)
     return (
-        spark.read.parquet(folder)
-        .filter(F.col("year").between(first_year, last_year))
-        .filter(F.col("id").startswith("US") & F.col("element").isin(daily_elements()))
+        daily.filter(F.col("id").startswith("US") & F.col("element").isin(daily_elements()))
         .select("id", "date", "element", "value", "qflag")
     )
