@@ -59,6 +59,15 @@ def test_time_cells(spark):
     ]
 
 
+def test_short_years_and_halves_of_the_day(spark):
+    raw = ["1/1/15 0:01", "12/31/68 23:59", "7/4/69 1:02:03", "01/02/2015 03:04:05 PM", "1/2/2015 12:30 am", "1/2/2015 12:30 PM",
+           "2016-04-01 07:00:00 PM", "1/2/2015 13:00 PM", "1/2/155 3:00", "PM"]
+    assert cells(spark, raw, "timestamp_ntz") == [
+        dt.datetime(2015, 1, 1, 0, 1), dt.datetime(2068, 12, 31, 23, 59), dt.datetime(1969, 7, 4, 1, 2, 3), dt.datetime(2015, 1, 2, 15, 4, 5),
+        dt.datetime(2015, 1, 2, 0, 30), dt.datetime(2015, 1, 2, 12, 30), dt.datetime(2016, 4, 1, 19, 0), None, None, None,
+    ]
+
+
 def test_observation_values(spark):
     raw = ["5.6", "T", "0.805s", "3.219V", "VRB", "", "*", None, "NA", " 7.2 ", "1VV"]
     df = observation_cells(spark.createDataFrame(list(enumerate(raw)), "i int, c string"), ["c"])

@@ -12,6 +12,8 @@ from velomet.fixed_values import MISSING_TOKENS, NULL_MARKERS, PRESENT_WEATHER_C
 _SPACES = " \t\n\x0b\f\r"
 _NUMBER_CHARACTERS = "0123456789+-.eE"
 _MONTH_FIRST = r"^(\d{1,2})/(\d{1,2})/(\d{4})(.*)$"
+_THIS_CENTURY = r"^(\d{1,2}/\d{1,2}/)([0-5]\d|6[0-8])(?!\d)"
+_LAST_CENTURY = r"^(\d{1,2}/\d{1,2}/)(69|[7-9]\d)(?!\d)"
 
 
 def strip(c: Column) -> Column:
@@ -55,13 +57,25 @@ def to_long(c: Column) -> Column:
 def to_wall_clock(c: Column) -> Column:
     """Text to a zone-less timestamp over the layouts trip files have used.
 
-    Year-first text goes straight to the cast; month-first text is rewritten year-first. No
+    Year-first text goes straight to the cast; month-first text is rewritten year-first, a year of two
+    digits being one from 1969 to 2068, and hours before noon or after it are moved to the day's 24. No
     zoned type is involved, so the session time zone cannot shift a value. A year or month
     alone is no time: a full date has its second dash after the sixth character.
     """
     s = strip(c)
-    iso = F.when(s.contains("/"), F.regexp_replace(s, _MONTH_FIRST, "$3-$1-$2$4")).otherwise(s)
-    return F.when(F.locate("-", iso, 6) > 0, iso.try_cast("timestamp_ntz"))
+    half = F.upper(F.right(s, F.lit(2)))
+    bare = F.when(half.isin("AM", "PM"), F.rtrim(F.left(s, F.length(s) - 2))).otherwise(s)
+    years = F.regexp_replace(F.regexp_replace(bare, _THIS_CENTURY, "$120$2"), _LAST_CENTURY, "$119$2")
+    iso = F.when(bare.contains("/"), F.regexp_replace(years, _MONTH_FIRST, "$3-$1-$2$4")).otherwise(bare)
+    time = F.when(F.locate("-", iso, 6) > 0, iso.try_cast("timestamp_ntz"))
+    noon = F.make_dt_interval(hours=F.lit(12))
+    hour = F.hour(time)
+    return (
+        F.when((half == "PM") & (hour < 12), time + noon)
+        .when((half == "AM") & (hour == 12), time - noon)
+        .when(half.isin("AM", "PM") & (hour > 12), None)
+        .otherwise(time)
+    )
 
 
 def typed_cell(c: Column, type_name: str) -> Column:

@@ -114,12 +114,15 @@ def derive_daily(wide: DataFrame) -> DataFrame:
 def station_map(stations: DataFrame, zip_areas: DataFrame, counties: DataFrame) -> DataFrame:
     """Each located US station with one ZIP area and one county that contain it.
 
-    A station inside several areas keeps the smallest (zip, county). That is a minimum, so it
-    is aggregated rather than ranked; stations outside every area drop out.
+    A station inside several areas keeps the smallest (zip, county), and a station listed several times
+    the smallest of its rows. Those are minima, so they are aggregated rather than ranked; stations
+    outside every area drop out.
     """
-    located = stations.filter(
+    listed = stations.filter(
         F.col("id").startswith("US") & F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     )
+    columns = ["name", "longitude", "latitude", "state"]
+    located = listed.groupBy("id").agg(F.min(F.struct(*columns)).alias("s")).select("id", *[f"s.{c}" for c in columns])
     in_zip = points_in_polygons(located, zip_areas, "id", ["zip_code", "city"])
     in_county = points_in_polygons(located, counties, "id", ["county_name"])
     first_zip = in_zip.groupBy("id").agg(F.min(F.struct("zip_code", "city")).alias("z"))
