@@ -2,7 +2,7 @@
 
 Every step is an aggregation. Rows are first reduced to distinct x values, each of which
 contributes to the grid points within their bandwidth, so no pair of data rows is ever formed.
-Only the grid itself (``points`` numbers per series) returns to the driver between passes.
+Between passes only the grid itself (``points`` numbers per series) is carried on.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from velomet.session import checkpoint_dir
+
 ROBUST_PASSES = 3
 
 
@@ -99,37 +101,55 @@ def lowess(
     After the first fit, ``passes`` refits weigh rows by their residual (bisquare of six median
     absolute residuals), with the line interpolated between grid points.
     """
-    spark = df.sparkSession
+    return _trend(df, x, y, frac, by, points, passes, ())[1].select(*by, "x", "fit")
+
+
+def lowess_at_rows(
+    df: DataFrame,
+    x: str,
+    y: str,
+    frac: float = 2.0 / 3.0,
+    by: Sequence[str] = (),
+    carry: Sequence[str] = (),
+    points: int = 41,
+    passes: int = ROBUST_PASSES,
+) -> DataFrame:
+    """The trend at every row with x and y: by, carry, x, y, fit, read off the grid's line."""
+    rows, fitted, grid, keys = _trend(df, x, y, frac, by, points, passes, carry)
+    lines = _lines(fitted, grid, keys)
+    return rows.join(lines, keys).select(*by, *carry, "x", "y", _interpolated(F.col("x")).alias("fit"))
+
+
+def _lines(fitted: DataFrame, grid: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per series the grid's fits as one array, with the grid's first point and step."""
+    fits = fitted.groupBy(*keys).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("j", "fit"))), lambda s: s["fit"]).alias("fits")
+    )
+    return fits.join(grid.select(*keys, "lo", "step"), keys)
+
+
+def _trend(df, x, y, frac, by, points, passes, carry) -> tuple[DataFrame, DataFrame, DataFrame, list[str]]:
+    """Rows, fitted grid, grid and keys. What a pass hands to the next, a few numbers per series, goes through
+    the checkpoint folder and not through the driver."""
+    checkpoint_dir(df.sparkSession)
     keys = list(by) or ["_all"]
     rows = df.select(
         *[F.col(c) for c in by],
         *([] if by else [F.lit(0).alias("_all")]),
+        *carry,
         F.col(x).cast("double").alias("x"),
         F.col(y).cast("double").alias("y"),
-    ).dropna(subset=["x", "y", *by]).persist()
-    try:
-        grid_rows = _bandwidths(rows, keys, points, frac).collect()
-        if not grid_rows:
-            return rows.select(*by, "x", F.lit(None).cast("double").alias("fit")).limit(0)
-        grid = spark.createDataFrame(grid_rows)
-        weighted = rows.withColumn("r", F.lit(1.0))
-        for turn in range(passes + 1):
-            fitted = _fit_grid(weighted, grid, keys).collect()
-            if turn == passes:
-                break
-            lines = (
-                spark.createDataFrame(fitted)
-                .groupBy(*keys)
-                .agg(F.transform(F.sort_array(F.collect_list(F.struct("j", "fit"))), lambda s: s["fit"]).alias("fits"))
-                .join(grid.select(*keys, "lo", "step"), keys)
-            )
-            residual = rows.join(lines, keys).select(*keys, "x", "y", F.abs(F.col("y") - _interpolated(F.col("x"))).alias("a"))
-            scales = spark.createDataFrame(
-                residual.groupBy(*keys).agg(F.median("a").alias("mad")).collect(),
-            )
-            share = F.coalesce(F.try_divide(F.col("a"), 6 * F.col("mad")), F.lit(0.0))
-            bisquare = F.when(share < 1, F.pow(1 - share * share, F.lit(2.0))).otherwise(0.0)
-            weighted = residual.join(scales, keys).select(*keys, "x", "y", bisquare.alias("r"))
-    finally:
-        rows.unpersist()
-    return spark.createDataFrame(fitted).select(*by, "x", "fit")
+    ).dropna(subset=["x", "y", *by]).checkpoint()
+    grid = _bandwidths(rows, keys, points, frac).checkpoint()
+    weighted = rows.withColumn("r", F.lit(1.0))
+    for turn in range(passes + 1):
+        fitted = _fit_grid(weighted, grid, keys).checkpoint()
+        if turn == passes:
+            break
+        lines = _lines(fitted, grid, keys)
+        residual = rows.join(lines, keys).select(*keys, "x", "y", F.abs(F.col("y") - _interpolated(F.col("x"))).alias("a"))
+        scales = residual.groupBy(*keys).agg(F.median("a").alias("mad")).checkpoint()
+        share = F.coalesce(F.try_divide(F.col("a"), 6 * F.col("mad")), F.lit(0.0))
+        bisquare = F.when(share < 1, F.pow(1 - share * share, F.lit(2.0))).otherwise(0.0)
+        weighted = residual.join(scales, keys).select(*keys, "x", "y", bisquare.alias("r"))
+    return rows, fitted, grid, keys

@@ -173,19 +173,19 @@ def calendar_month_mean(d: DataFrame, by: Sequence[str] = SEGMENT) -> DataFrame:
 def five_number(d: DataFrame, value: str = "trips", by: Sequence[str] = ("segment", "condition")) -> DataFrame:
     """Box-plot numbers per group: quartiles, extremes, and whiskers at 1.5 interquartile ranges.
 
-    A whisker ends at the furthest value within the fence. Quartiles interpolate linearly. They
-    are attached to the rows by a window on the grouping key, so one shuffle serves both steps.
+    A whisker ends at the furthest value within the fence. Quartiles interpolate linearly over counts per
+    distinct value, which tasks sum up before they meet; the few rows they make join the values again.
     """
-    group = Window.partitionBy(*by)
-    quartiles = {
-        f"_q{k}": F.percentile(value, F.lit(k / 4)).over(group) for k in (1, 2, 3)
-    }
-    known = d.dropna(subset=[value, *by]).select(*by, value).withColumns(quartiles)
+    values = d.dropna(subset=[value, *by]).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    quartiles = values.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(
+        *[F.percentile(value, F.lit(k / 4), F.col("_n")).alias(f"_q{k}") for k in (1, 2, 3)]
+    )
+    known = values.join(quartiles, [F.col(c) == F.col(f"_{c}") for c in by])
     reach = 1.5 * (F.col("_q3") - F.col("_q1"))
     inside = F.col(value).between(F.col("_q1") - reach, F.col("_q3") + reach)
     within = F.when(inside, F.col(value))
     return known.groupBy(*by).agg(
-        F.count(value).alias("n"),
+        F.sum("_n").alias("n"),
         F.first("_q1").alias("q1"),
         F.first("_q2").alias("median"),
         F.first("_q3").alias("q3"),

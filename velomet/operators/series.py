@@ -39,8 +39,9 @@ def by_segment(
 
 def from_launch(df: DataFrame, series: Sequence[str] = ("segment",)) -> DataFrame:
     """Rows from the first day with trips of each series on; a series never launched drops out."""
-    launch = F.min(F.when(F.col("trips") > 0, F.col("date"))).over(Window.partitionBy(*series))
-    return df.withColumn("launch", launch).filter(F.col("date") >= F.col("launch")).drop("launch")
+    launch = df.filter(F.col("trips") > 0).groupBy(*[F.col(c).alias(f"_{c}") for c in series]).agg(F.min("date").alias("launch"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in series]
+    return df.join(launch, [*same, F.col("date") >= F.col("launch")], "left_semi")
 
 
 def user_slice(
@@ -50,10 +51,11 @@ def user_slice(
     days: str = "All days",
 ) -> DataFrame:
     """Year range and day-type choice. An empty slice is an empty frame with the same schema."""
+    # Ranges of the day itself, which a scan can use; a function of it would not reach the files.
     if first_year is not None:
-        df = df.filter(F.year("date") >= first_year)
+        df = df.filter(F.col("date") >= F.lit(f"{first_year:04d}-01-01").cast("date"))
     if last_year is not None:
-        df = df.filter(F.year("date") <= last_year)
+        df = df.filter(F.col("date") < F.lit(f"{last_year + 1:04d}-01-01").cast("date"))
     if days == "Weekdays only":
         return df.filter(F.weekday("date") < 5)
     if days == "Weekends only":

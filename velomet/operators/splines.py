@@ -45,8 +45,8 @@ class Knots:
         return [F.lit(0.0) if c is None else c for c in level[1:]]
 
 
-def quantile_knots(df: DataFrame, column: str, columns_out: int = 5) -> Knots:
-    """Inner knots at equally spaced quantiles so that the basis has ``columns_out`` columns."""
+def quantile_knots(df: DataFrame, column: str, columns_out: int = 5) -> Knots | None:
+    """Inner knots at equally spaced quantiles so that the basis has ``columns_out`` columns; None without values."""
     n_inner = columns_out - DEGREE
     at = [(k + 1) / (n_inner + 1) for k in range(n_inner)]
     row = df.agg(
@@ -54,4 +54,6 @@ def quantile_knots(df: DataFrame, column: str, columns_out: int = 5) -> Knots:
         F.max(column).alias("high"),
         F.percentile(column, F.array(*[F.lit(q) for q in at])).alias("inner"),
     ).first()
+    if row.low is None:
+        return None
     return Knots(float(row.low), float(row.high), tuple(map(float, row.inner)))

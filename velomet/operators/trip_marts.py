@@ -95,7 +95,8 @@ def station_key_comparison(
     keys = (
         owned_rows(trips, cutover)
         .filter((F.col("region") == region) & F.col("start_station_name").isNotNull())
-        .filter(F.year("start_time").between(*years))
+        .filter(F.col("start_time") >= F.lit(f"{years[0]:04d}-01-01 00:00:00").cast("timestamp_ntz"))
+        .filter(F.col("start_time") < F.lit(f"{years[1] + 1:04d}-01-01 00:00:00").cast("timestamp_ntz"))
         .select(
             F.year("start_time").alias("year"),
             F.col("start_station_id").alias("id"),

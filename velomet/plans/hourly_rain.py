@@ -60,6 +60,8 @@ def _fit_within_day(frame: DataFrame, regressors: list[str], contrasts: dict[str
     """
     design = _design(regressors)
     moments = collect_moments(frame, design)
+    if moments.n == 0:
+        return dict.fromkeys(contrasts, (None, None, None)), {"n": 0, "n_days": 0}
     fit = solve(moments)
     levels = frame.agg(F.count_distinct("hw")).first()[0]
     sums = cluster_sums(frame, design, fit, contrasts).first()
@@ -72,7 +74,7 @@ def _fit_within_day(frame: DataFrame, regressors: list[str], contrasts: dict[str
 
 
 def rain_profile(hourly: DataFrame, trips_col: str) -> tuple[DataFrame, dict]:
-    """Effect by hour from two before to four after rain, and the cumulative effect from 0 on."""
+    """Effect by hour from two before to four after rain, and the cumulative effect from 0 on. No hours give no rows."""
     leads = [f"rain_lead{k}" for k in range(RAIN_LEADS, 0, -1)]
     after = ["is_raining", *[f"rain_lag{k}" for k in range(1, RAIN_LAGS + 1)]]
     contrasts = {name: {name: 1.0} for name in leads + after}
@@ -83,7 +85,7 @@ def rain_profile(hourly: DataFrame, trips_col: str) -> tuple[DataFrame, dict]:
     finally:
         frame.unpersist()
     offsets = range(-RAIN_LEADS, RAIN_LAGS + 1)
-    rows = [(k, *effects[name]) for k, name in zip(offsets, leads + after)]
+    rows = [(k, *effects[name]) for k, name in zip(offsets, leads + after)] if meta["n"] else []
     meta |= dict(zip(("cum_pct", "cum_lo", "cum_hi"), effects["cumulative"]))
     return hourly.sparkSession.createDataFrame(rows, PROFILE_SCHEMA), meta
 
@@ -97,7 +99,7 @@ def rain_by_daypart(hourly: DataFrame, trips_col: str) -> tuple[DataFrame, dict]
         effects, meta = _fit_within_day(frame, [*columns, "heavy_rain", "is_snowing"], contrasts)
     finally:
         frame.unpersist()
-    rows = [(label, *effects[name]) for name, label in columns.items()]
+    rows = [(label, *effects[name]) for name, label in columns.items()] if meta["n"] else []
     meta["heavy_extra"] = dict(zip(("pct", "lo", "hi"), effects["heavy_rain"]))
     return hourly.sparkSession.createDataFrame(rows, DAYPART_SCHEMA), meta
 

@@ -622,7 +622,7 @@ BODIES["model_bands"] = f"""SELECT {band('tavg_f', MODEL_TEMP_EDGES, MODEL_TEMP_
   FROM joined WHERE date IS NOT NULL AND num_trips > 0 AND tavg_f IS NOT NULL AND wind_avg_mph IS NOT NULL AND prcp_inches IS NOT NULL GROUP BY 1, 2, 3"""
 
 
-CTES |= fits.impact_ctes(band) | fits.hourly_ctes() | fits.adjusted_ctes() | fits.lowess_ctes()
+CTES |= fits.impact_ctes(band) | fits.hourly_ctes() | fits.adjusted_ctes() | fits.lowess_ctes() | fits.lowess_ctes(frac="0.4", p_="la_")
 BODIES |= {
     "fit_impacts": fits.impacts_sql(r),
     "fit_humidity": fits.humidity_sql(r),
@@ -630,6 +630,10 @@ BODIES |= {
     "rain_daypart": fits.daypart_sql(r),
     "weather_adjusted_trips": fits.adjusted_sql(r),
     "lowess_grid": fits.lowess_sql(r),
+    "lowess_fit": fits.lowess_fit_sql(r),
+    "fit_impacts_meta": fits.impacts_meta_sql(r),
+    "rain_totals": fits.totals_sql(r),
+    "empty_years": "SELECT m AS model, (SELECT count(*) FROM joined WHERE year(date) IN (1850, 1851)) AS n FROM (VALUES ('adjusted'), ('impacts'), ('profile'), ('dayparts')) t(m)",
 }
 
 

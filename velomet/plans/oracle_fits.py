@@ -128,6 +128,7 @@ def impact_ctes(band) -> dict[str, str]:
     ctes = {"imp": frame}
     ctes |= fit("imp_", "imp", numbers, {"dow": "0", "temp_band": MODEL_TEMP_REFERENCE, "rain_band": "dry"})
     ctes |= influences("imp_", "imp", " UNION ALL ".join(rows)) | hac("imp_")
+    ctes |= fit("ctl_", "imp", ["holiday"], {"dow": "0"})
     warm = f"""SELECT {_calendar('num_nyc_trips')}, {dry} AS rain_band, tavg_f, dewpoint_f, wind_avg_mph
       FROM joined WHERE date IS NOT NULL AND num_nyc_trips > 0 AND tavg_f >= 68 AND dewpoint_f IS NOT NULL AND wind_avg_mph IS NOT NULL"""
     ctes |= {"hum": warm}
@@ -169,26 +170,48 @@ def hourly_ctes() -> dict[str, str]:
     ctes["pro_all"] = _hour_frame("num_nyc_trips")
     ctes["pro"] = "SELECT * FROM pro_all WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in [*names, "is_snowing"])
     ctes |= fit("pro_", "pro", [*names, "is_snowing"], {"hw": None})
-    ctes |= influences("pro_", "pro", " UNION ALL ".join(f"SELECT '{c}' AS label, '{c}' AS c, 1.0::DOUBLE AS w" for c in names))
+    single = [f"SELECT '{c}' AS label, '{c}' AS c, 1.0::DOUBLE AS w" for c in names]
+    after = [f"SELECT 'all', '{c}', 1.0::DOUBLE" for c, at in LEADS if at <= 0]
+    ctes |= influences("pro_", "pro", " UNION ALL ".join(single + after))
     ctes |= clustered("pro_", "pro", f"{len(names) + 1} + (SELECT count(DISTINCT hw) FROM pro_all) - 1")
     bands = [f"rain_{a}_{b}" for a, b, _ in DAYPARTS]
     for p, outcome in (("mem", "num_member_trips_nyc"), ("cas", "num_casual_trips_nyc")):
         ctes[f"{p}_all"] = _hour_frame(outcome)
         ctes[p] = f"SELECT * FROM {p}_all WHERE is_raining IS NOT NULL AND is_snowing IS NOT NULL"
         ctes |= fit(f"{p}_", p, [*bands, "heavy_rain", "is_snowing"], {"hw": None})
-        ctes |= influences(f"{p}_", p, " UNION ALL ".join(f"SELECT '{label}' AS label, 'rain_{a}_{b}' AS c, 1.0::DOUBLE AS w" for a, b, label in DAYPARTS))
+        parts = [f"SELECT '{label}' AS label, 'rain_{a}_{b}' AS c, 1.0::DOUBLE AS w" for a, b, label in DAYPARTS]
+        ctes |= influences(f"{p}_", p, " UNION ALL ".join([*parts, "SELECT 'heavy', 'heavy_rain', 1.0::DOUBLE"]))
         ctes |= clustered(f"{p}_", p, f"{len(bands) + 2} + (SELECT count(DISTINCT hw) FROM {p}_all) - 1")
     return ctes
 
 
 def profile_sql(r) -> str:
     k = " ".join(f"WHEN '{name}' THEN {-at}" for name, at in LEADS)
-    return f"SELECT CAST(CASE p.label {k} END AS INTEGER) AS k, {ends(r)} FROM pro_point p JOIN pro_var v ON v.label = p.label"
+    return f"SELECT CAST(CASE p.label {k} END AS INTEGER) AS k, {ends(r)} FROM pro_point p JOIN pro_var v ON v.label = p.label WHERE p.label <> 'all'"
+
+
+def totals_sql(r) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS effect, {ends(r)}, (SELECT count(*) FROM {p}) AS n, (SELECT count(DISTINCT g) FROM {p}) AS n_days "
+        f"FROM {p}_point p JOIN {p}_var v ON v.label = p.label WHERE p.label = '{label}'"
+        for name, p, label in (("hours 0 to 4", "pro", "all"), ("heavy rain, members", "mem", "heavy"))
+    )
+
+
+def squares(p: str, frame: str) -> str:
+    """Residual squares of a fit, the absorbed means taken out."""
+    return f"""(SELECT sum(u * u) FROM (SELECT e - avg(e) OVER (PARTITION BY g) AS u FROM (
+        SELECT f.g, f.y - s.s AS e FROM {frame} f JOIN (SELECT l.t, sum(l.v * b.b) AS s FROM {p}long l JOIN {p}beta b ON b.c = l.c GROUP BY 1) s ON s.t = f.t)))"""
+
+
+def impacts_meta_sql(r) -> str:
+    return f"""SELECT n, {r('1 - controls / whole', 6)} AS r2_controls, {r('1 - rest / whole', 6)} AS r2_full, {r('(controls - rest) / controls', 6)} AS weather_partial_r2
+      FROM (SELECT count(*) AS n, sum(y * y) - sum(y) * sum(y) / count(*) AS whole, {squares('ctl_', 'imp')} AS controls, {squares('imp_', 'imp')} AS rest FROM imp)"""
 
 
 def daypart_sql(r) -> str:
     return " UNION ALL ".join(
-        f"SELECT p.label AS daypart, {ends(r)}, '{rider}' AS rider FROM {p}_point p JOIN {p}_var v ON v.label = p.label"
+        f"SELECT p.label AS daypart, {ends(r)}, '{rider}' AS rider FROM {p}_point p JOIN {p}_var v ON v.label = p.label WHERE p.label <> 'heavy'"
         for p, rider in (("mem", "Member"), ("cas", "Casual"))
     )
 
@@ -251,10 +274,17 @@ def adjusted_sql(r) -> str:
       FROM kpi k JOIN kpi_score s ON s.t = k.t JOIN kpi_gap q ON q.t = k.t"""
 
 
-def lowess_ctes(points: int = 41, frac: str = "0.3", passes: int = 3) -> dict[str, str]:
+def lowess_ctes(points: int = 41, frac: str = "0.3", passes: int = 3, p_: str = "lo_") -> dict[str, str]:
     """Every pass written out: bandwidths, local lines at grid points, bisquare weights."""
+    ctes = _lowess_ctes(points, frac, passes)
+    if p_ == "lo_":
+        return ctes
+    return {k.replace("lo_", p_): v.replace("lo_", p_) for k, v in ctes.items()}
+
+
+def _lowess_ctes(points: int, frac: str, passes: int) -> dict[str, str]:
     ctes = {
-        "lo_rows": "SELECT row_number() OVER () AS id, season, tavg_f AS x, CAST(num_nyc_trips AS DOUBLE) AS y FROM joined WHERE date IS NOT NULL AND tavg_f IS NOT NULL AND season IS NOT NULL",
+        "lo_rows": "SELECT row_number() OVER () AS id, date, season, tavg_f AS x, CAST(num_nyc_trips AS DOUBLE) AS y FROM joined WHERE date IS NOT NULL AND tavg_f IS NOT NULL AND season IS NOT NULL",
         "lo_span": f"SELECT season, min(x) AS lo, (max(x) - min(x)) / {points - 1} AS step, greatest(1, CAST(floor({frac}::DOUBLE * count(*) + 1e-10) AS BIGINT)) AS k FROM lo_rows GROUP BY 1",
         "lo_grid": f"SELECT season, j, lo + j * step AS g, lo, step, k FROM lo_span CROSS JOIN (SELECT unnest(generate_series(0, {points - 1})) AS j)",
         "lo_width": """SELECT season, j, g, lo, step, max(far) AS h FROM (
@@ -276,5 +306,11 @@ def lowess_ctes(points: int = 41, frac: str = "0.3", passes: int = 3) -> dict[st
     return ctes
 
 
+def lowess_fit_sql(r, p: str = "la_", passes: int = 3, points: int = 41) -> str:
+    return f"""SELECT d.season, d.date, {r('d.x', 6)} AS x, {r('d.y', 6)} AS y, {r('a.fit + (b.fit - a.fit) * ((d.x - a.lo) / a.step - a.j)', 6)} AS fit
+      FROM {p}rows d JOIN {p}fit{passes} a ON a.season = d.season AND a.j = least(greatest(CAST(floor((d.x - a.lo) / a.step) AS BIGINT), 0), {points - 2})
+      JOIN {p}fit{passes} b ON b.season = d.season AND b.j = a.j + 1"""
+
+
 def lowess_sql(r, passes: int = 3) -> str:
     return f"SELECT season, {r('g', 6)} AS x, {r('fit', 6)} AS fit FROM lo_fit{passes}"

@@ -18,7 +18,7 @@ from velomet.functions.geo import great_circle_meters
 from velomet.functions.text import name_key, present_weather_flag
 from velomet.functions.units import steady_round
 from velomet.operators import climatology, profiles, quality, series, spatial, trip_marts, weather_daily, weather_hourly
-from velomet.operators.lowess import lowess
+from velomet.operators.lowess import lowess, lowess_at_rows
 from velomet.operators.regression import Design, cluster_sums, collect_moments, hac_sums, moment_sums, solve
 from velomet.plans import daily_impacts, hourly_rain, standins, weather_adjusted
 from velomet.session import checkpoint_dir
@@ -707,6 +707,16 @@ def fit_impacts(spark, sf):
     return _effects(daily_impacts.by_size(daily_impacts.fit_impacts(days, "num_nyc_trips")[0]))
 
 
+@query
+def fit_impacts_meta(spark, sf):
+    """How much of the days' variance calendar and weather explain."""
+    days = standins.trips_with_weather(spark, sf).filter(F.col("date").isNotNull())
+    meta = daily_impacts.fit_impacts(days, "num_nyc_trips")[1]
+    names = ["r2_controls", "r2_full", "weather_partial_r2"]
+    df = spark.createDataFrame([(meta["n"], *[meta.get(c) for c in names])], "n bigint, " + ", ".join(f"{c} double" for c in names))
+    return rounded(df, names, 6)
+
+
 @query
 def fit_humidity(spark, sf):
     days = standins.trips_with_weather(spark, sf).filter(F.col("date").isNotNull())
@@ -721,6 +731,32 @@ def rain_profile(spark, sf):
     return _effects(hourly_rain.rain_profile(standins.hourly_with_weather(spark, sf), "num_nyc_trips")[0])
 
 
+@query
+def rain_totals(spark, sf):
+    """What an hour of rain costs up to four hours later, and what heavy rain adds for members."""
+    hourly = standins.hourly_with_weather(spark, sf)
+    profile = hourly_rain.rain_profile(hourly, "num_nyc_trips")[1]
+    parts = hourly_rain.rain_by_daypart(hourly, "num_member_trips_nyc")[1]
+    rows = [("hours 0 to 4", *[profile[f"cum_{c}"] for c in ("pct", "lo", "hi")], profile["n"], profile["n_days"])]
+    rows.append(("heavy rain, members", *[parts["heavy_extra"][c] for c in ("pct", "lo", "hi")], parts["n"], parts["n_days"]))
+    return _effects(spark.createDataFrame(rows, "effect string, pct double, lo double, hi double, n bigint, n_days bigint"))
+
+
+@query
+def empty_years(spark, sf):
+    """The models over years without days: rows of each, which is none."""
+    days = standins.trips_with_weather(spark, sf).filter(F.col("date").isNotNull())
+    none = series.user_slice(days, 1850, 1851)
+    hours = series.user_slice(standins.hourly_with_weather(spark, sf), 1850, 1851)
+    frames = {
+        "adjusted": weather_adjusted.weather_adjusted_daily(none, "num_nyc_trips"),
+        "impacts": daily_impacts.fit_impacts(none, "num_nyc_trips")[0],
+        "profile": hourly_rain.rain_profile(hours, "num_nyc_trips")[0],
+        "dayparts": hourly_rain.rain_by_daypart(hours, "num_nyc_trips")[0],
+    }
+    return spark.createDataFrame([(k, df.count()) for k, df in frames.items()], "model string, n bigint")
+
+
 @query
 def rain_daypart(spark, sf):
     hourly = standins.hourly_with_weather(spark, sf)
@@ -734,6 +770,13 @@ def weather_adjusted_trips(spark, sf):
     return rounded(df, ["actual", "expected", "weather_effect", "adjusted"])
 
 
+@query
+def lowess_fit(spark, sf):
+    """The trend at every day, with the default share of neighbours."""
+    days = standins.trips_with_weather(spark, sf).filter(F.col("date").isNotNull())
+    return rounded(lowess_at_rows(days, "tavg_f", "num_nyc_trips", 0.4, by=("season",), carry=("date",)), ["x", "y", "fit"])
+
+
 @query
 def lowess_grid(spark, sf):
     days = standins.trips_with_weather(spark, sf).filter(F.col("date").isNotNull())

@@ -16,6 +16,7 @@ SPLINE_COLUMNS = 5
 _SPLINE = [f"bs{k}" for k in range(1, SPLINE_COLUMNS + 1)]
 _LINEAR = [c for c in CLIMATOLOGY_DRIVERS if c != "tavg_f"]
 
+ADJUSTED_SCHEMA = "date date, actual double, expected double, weather_effect double, adjusted double"
 ADJUSTED_DESIGN = Design(
     outcome="logy",
     numbers=("holiday", *_SPLINE, *_LINEAR),
@@ -43,13 +44,15 @@ def weather_adjusted_daily(daily: DataFrame, trips_col: str) -> DataFrame:
 
     The model is fitted once, on drivers filled from their day-of-year normals. The month
     effect, being absorbed, is recovered as the month's mean residual; it cancels in the weather
-    effect, which compares the day's weather to the normal of its day of year. The day rows are
-    checkpointed because normals, knots, fit and result each read them: trips are scanned once.
+    effect, which compares the day's weather to the normal of its day of year. No days, or none with a
+    temperature, give no rows. The day rows are checkpointed because normals, knots, fit and result each read them: trips are scanned once.
     """
     checkpoint_dir(daily.sparkSession)
     days = kpi_frame(daily, trips_col).checkpoint()
     filled = fill_from_normals(days, normals(days, CLIMATOLOGY_DRIVERS), CLIMATOLOGY_DRIVERS)
     knots = quantile_knots(filled, "tavg_f", SPLINE_COLUMNS)
+    if knots is None:
+        return daily.sparkSession.createDataFrame([], ADJUSTED_SCHEMA)
     model = filled.withColumns(dict(zip(_SPLINE, knots.basis(F.col("tavg_f")))))
     weights = solve(collect_moments(model, ADJUSTED_DESIGN)).weights
     normal = dict(zip(_SPLINE, knots.basis(F.col("tavg_f_normal"))))

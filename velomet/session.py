@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job wants, whatever the cluster. Sizes that depend on the cluster
@@ -37,15 +35,12 @@ def build_session(app: str = "velomet", master: str | None = None, **conf: str)
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the session names.
 
-    A scratch folder stands in for it only on one machine; a cluster has to name its own, since a
-    folder local to one machine would not survive that machine.
+    Where none is named, a folder beside the tables of the warehouse stands in, which executors share too.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="velomet-")
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named
