@@ -423,6 +423,11 @@ def lead_lag(source: str, value: str, name: str, series: bool, columns: str) ->
 CTES["hour_points"] = "SELECT segment, hour_ts AS ts, trips, is_raining FROM long_hours"
 CTES["hour_points_all"] = "SELECT hour_ts AS ts, num_trips FROM hourly_all WHERE hour_ts IS NOT NULL"
 
+# Codes the daily mart reads, written out here so that the query under test does not lend them.
+DAILY_WANTED = (
+    "'TAVG', 'TMAX', 'TMIN', 'PRCP', 'SNOW', 'SNWD', 'ADPT', 'AWBT', 'RHAV', 'RHMN', 'RHMX', 'ASLP', 'ASTP', 'AWND', 'WSF2', 'WDF2', "
+    "'WT01', 'WT03', 'WT08'"
+)
 RAW_CELLS = """(SELECT o_orderkey AS row_id, o_custkey, o_orderdate, o_orderpriority, CAST(floor(o_totalprice) AS BIGINT) AS price FROM orders)"""
 FILES = """(SELECT archive, path, max(size) AS size FROM (SELECT year(o_orderdate) || '.zip' AS archive, o_orderkey % 7 + 1 AS size,
    CASE o_orderkey % 6 WHEN 3 THEN 'nested/' WHEN 4 THEN 'nested/deep/' WHEN 5 THEN '__MACOSX/' ELSE '' END
@@ -460,6 +465,16 @@ BODIES: dict[str, str] = {
     "weather_daily_nyc": "SELECT * FROM home",
     "station_map": "SELECT * FROM mapped",
     "observation_typing": "SELECT * FROM typed_obs",
+    "observation_years": "SELECT * EXCLUDE (source_file) FROM typed_obs",
+    "daily_observation_folders": f"""SELECT span, element, count(*) AS n, CAST(sum(value) AS BIGINT) AS total
+      FROM long_obs JOIN (VALUES ('all', 0, 9999), ('from 1995', 1995, 9999), ('to 1994', 0, 1994)) s(span, a, b) ON year(date) BETWEEN a AND b
+      WHERE id LIKE 'US%' AND element IN ({DAILY_WANTED}) GROUP BY 1, 2""",
+    "mart_snapshots": """SELECT kind, date, num_trips, num_nyc_trips, (SELECT count(*) FROM daily) AS rows
+      FROM daily CROSS JOIN (VALUES ('snapshot'), ('text')) k(kind)""",
+    "trip_files_typed": f"""SELECT 'NYC' AS region, strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n, count(*) FILTER (WHERE row_id % 6 NOT IN (0, 1)) AS named,
+        CAST(sum(price) FILTER (WHERE row_id % 11 NOT IN (0, 1, 2)) AS BIGINT) AS seconds, sum(CASE WHEN o_custkey % 3 <> 0 THEN CAST(1940 + o_custkey % 60 AS DOUBLE) END) AS birth_years,
+        count(DISTINCT o_custkey) AS stations, 1::BIGINT AS bad_files
+      FROM {RAW_CELLS} WHERE o_orderdate >= DATE '1993-01-01' AND NOT (row_id % 4 = 3 AND row_id % 5 = 0) GROUP BY 1, 2""",
     "weather_hourly_nyc": "SELECT * FROM local_obs",
     "obs_hour_collapse": f"SELECT * {REPLACE_HOURS} FROM weather_hours",
     "tz_local_key": """SELECT l_orderkey, l_linenumber, t AS obs_time_lst, z AS obs_time_local, CAST(z AS DATE) AS date_local, CAST(hour(z) AS INTEGER) AS hour_local

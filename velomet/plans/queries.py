@@ -182,7 +182,7 @@ def text_flags(spark, sf):
 
 
 # ---------------------------------------------------------------- cells, names, files
-def _raw_trip_cells(spark, sf):
+def raw_trip_cells(spark, sf):
     """Orders as raw text rows of a legacy file with every kind of untidy cell."""
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     price = F.floor(F.col("o_totalprice")).cast("bigint").cast("string")
@@ -210,7 +210,7 @@ def _raw_trip_cells(spark, sf):
 
 @query
 def clean_markers(spark, sf):
-    raw = _raw_trip_cells(spark, sf)
+    raw = raw_trip_cells(spark, sf)
     return align_to_era(raw, "legacy", keep=["row_id"]).select(
         "row_id", "trip_duration", "start_time", "start_station_id", "start_station_name",
         "start_station_latitude", "birth_year", "gender", "bike_id",
@@ -220,7 +220,7 @@ def clean_markers(spark, sf):
 @query
 def quarantine_counts(spark, sf):
     return (
-        quarantine(_raw_trip_cells(spark, sf), "legacy")
+        quarantine(raw_trip_cells(spark, sf), "legacy")
         .groupBy("source_file", "column")
         .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("example"))
     )
@@ -781,3 +781,7 @@ def lowess_fit(spark, sf):
 def lowess_grid(spark, sf):
     days = standins.trips_with_weather(spark, sf).filter(F.col("date").isNotNull())
     return rounded(lowess(days, "tavg_f", "num_nyc_trips", 0.3, by=("season",)), ["x", "fit"])
+
+
+# Queries over stored files register themselves above.
+import velomet.plans.stored  # noqa: E402, F401
