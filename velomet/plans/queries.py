@@ -649,12 +649,14 @@ GRAM_DESIGN = Design("y", ("x", "z"), {"dow": list(range(7))}, absorb=("ym",))
 
 
 def _model_days(spark, sf):
-    """Days with trips and wind: log trips on wind and humidity, by month."""
+    """Days with trips and wind: log trips on wind and humidity, by month. The days go to the checkpoint
+    folder, since a fit and its errors read them several times: trips are scanned once."""
+    checkpoint_dir(spark)
     d = standins.trips_with_weather(spark, sf).filter(F.col("date").isNotNull() & (F.col("num_trips") > 0))
     return d.select(
         "date", year_month(F.col("date")).alias("ym"), F.weekday("date").alias("dow"),
         F.log("num_trips").alias("y"), F.col("wind_avg_mph").alias("x"), F.col("rh_avg").alias("z"),
-    )
+    ).checkpoint()
 
 
 @query

@@ -44,11 +44,19 @@ def keep_current(
     """Bring a mart up to date with everything that has arrived, then stop.
 
     Each batch writes the whole mart (one row per day or hour) to its own numbered folder; a
-    retried batch overwrites its own number, and readers only ever see finished folders.
+    retried batch overwrites its own number, and readers only ever see finished folders. Folders older
+    than the one before, which a reader may still hold, are removed.
     """
 
     def write(mart: DataFrame, batch: int) -> None:
         mart.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
+        jvm = mart.sparkSession.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(folder)
+        fs = root.getFileSystem(mart.sparkSession.sparkContext._jsc.hadoopConfiguration())
+        for held in fs.listStatus(root):
+            number = held.getPath().getName().removeprefix("batch=")
+            if number.isdigit() and int(number) < batch - 1:
+                fs.delete(held.getPath(), True)
 
     return (
         build_mart(trips)
