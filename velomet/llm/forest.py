@@ -92,8 +92,7 @@ def links_in(x: np.ndarray, y: np.ndarray, same: bool, least: float) -> np.ndarr
 
 
 def spanning(hit: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning set of the links of a square matrix."""
-    hit = hit | hit.T
+    """A spanning set of the links of a symmetric matrix."""
     left, found = hit.any(1), []
     while left.any():
         front = [int(np.argmax(left))]
@@ -121,21 +120,16 @@ def leaf_links(rows: pd.DataFrame, least: float) -> pd.DataFrame:
     else:
         i, j = np.flatnonzero(part == a), np.flatnonzero(part == b)
         hit[np.ix_(i, j)] = links_in(x[i], x[j], False, least)
-    i, j = np.nonzero(hit)
-    # A pair counts in the smallest cell that both are in.
-    width = max(map(len, rows["cells"]), default=1)
-    cells = np.full((n, width), -1, np.int64)
-    for k, c in enumerate(rows["cells"]):
-        cells[k, : len(c)] = c
-    mine = np.zeros(len(i), bool)
-    for at in range(0, len(i), 50_000):
-        u, w = cells[i[at : at + 50_000]], cells[j[at : at + 50_000]]
-        first = np.full(len(u), np.iinfo(np.int64).max)
-        for k in range(width):
-            shared = (w == u[:, k : k + 1]).any(1) & (u[:, k] != -1)
-            first = np.where(shared, np.minimum(first, u[:, k]), first)
-        mine[at : at + 50_000] = first == cell
-    links = np.bincount(i[mine], copies[j[mine]], n) + np.bincount(j[mine], copies[i[mine]], n)
+    hit |= hit.T
+    # A pair counts in the smallest cell that both are in: here, unless an earlier cell holds both.
+    owner = np.repeat(np.arange(n), [len(c) for c in rows["cells"]])
+    cells = np.concatenate([np.asarray(c, dtype=np.int64) for c in rows["cells"]])
+    owner, cells = owner[cells < cell], cells[cells < cell]
+    _, place, times = np.unique(cells, return_inverse=True, return_counts=True)
+    member = np.zeros((n, len(times)), np.float32)
+    member[owner, place] = 1
+    member = member[:, times > 1]
+    links = (hit & (member @ member.T < 0.5)) @ copies.astype(np.float64)
     some = np.flatnonzero(links)
     tree = np.array(spanning(hit), dtype=np.int64).reshape(-1, 2)
     return pd.DataFrame(
@@ -167,9 +161,8 @@ def _cells(nodes: DataFrame, trees: int, leaf: int) -> DataFrame:
                         ["team", "tree", "node", "p"],
                     )
 
-    # The sign bit is left to mark nothing: cells are non-negative, so -1 can pad.
     def number(*parts: str) -> Column:
-        return F.xxhash64(*parts).bitwiseAND(F.lit((1 << 63) - 1))
+        return F.xxhash64(*parts)
 
     open_ = keep(
         nodes.select("team", "node", "v")
@@ -285,3 +278,25 @@ def near_duplicates(embeddings: DataFrame, least: float = 0.93, trees: int = TRE
         component.alias("component_id"),
         F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+#: All pairs of a label, and the smallest id over links; for the size of a test table.
+REPORT_SQL = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM usable UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+), roots AS (
+  SELECT a AS vec_id, min(b) AS root FROM reached GROUP BY a
+), counted AS (
+  SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, coalesce(root, e.vec_id) AS component_id,
+       coalesce(e.vec_id = coalesce(root, e.vec_id), true) AS kept
+FROM embeddings e LEFT JOIN roots USING (vec_id) LEFT JOIN counted USING (vec_id)
+"""
