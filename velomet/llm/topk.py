@@ -107,7 +107,8 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int, block: int = BLOCK,
     blocks, groups = math.ceil(n / block), math.ceil(m / group)
     spread = lambda name, parts, seed: F.pmod(F.xxhash64(name, F.lit(seed)), F.lit(parts)).cast("int")
     c = candidates.withColumn("b", spread("vec_id", blocks, 1))
-    q = queries.withColumn("g", spread("vec_id", groups, 2))
+    # Names of its own, since queries are often rows of the same table.
+    q = queries.select(F.col("vec_id").alias("id"), F.col("v").alias("q")).withColumn("g", spread("id", groups, 2))
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -117,8 +118,8 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int, block: int = BLOCK,
         a, b, s = search_block(
             left["vec_id"].to_numpy(),
             _matrix(left["v"]),
-            right["vec_id"].to_numpy(),
-            _matrix(right["v"]),
+            right["id"].to_numpy(),
+            _matrix(right["q"]),
             right["floor"].to_numpy(),
             k,
         )
@@ -130,18 +131,16 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int, block: int = BLOCK,
         left = rows.where(F.col("b").between(first, last - 1)).select(
             "b", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), "vec_id", "v"
         )
-        right = asked.select(
-            F.explode(F.sequence(F.lit(first), F.lit(last - 1))).alias("b"), "g", "vec_id", "v", "floor"
-        )
-        return left.groupBy("b", "g").cogroup(right.groupBy("b", "g")).applyInPandas(search, schema)
+        right = asked.select(F.explode(F.sequence(F.lit(first), F.lit(last - 1))).alias("qb"), "g", "id", "q", "floor")
+        return left.groupBy("b", "g").cogroup(right.groupBy("qb", "g")).applyInPandas(search, schema)
 
     # First block 0 alone: its kth score is a floor for the others.
     opening = keep(tiles(c, q.withColumn("floor", F.lit(float("-inf"))), (0, 1)))
     found = opening
     if blocks > 1:
         floors = opening.groupBy("query_id").agg(F.when(F.count(F.lit(1)) == k, F.min("score")).alias("f"))
-        asked = q.join(floors, q["vec_id"] == floors["query_id"], "left").select(
-            "vec_id", "v", "g", F.coalesce("f", F.lit(float("-inf"))).alias("floor")
+        asked = q.join(floors, F.col("id") == F.col("query_id"), "left").select(
+            "id", "q", "g", F.coalesce("f", F.lit(float("-inf"))).alias("floor")
         )
         found = opening.union(tiles(c, asked, (1, blocks)))
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
@@ -159,7 +158,7 @@ def quantised(embeddings: DataFrame, scale: int = 64) -> DataFrame:
     return usable.select("vec_id", F.transform("e", lambda x: F.floor(x * scale).cast("double")).alias("v"))
 
 
-def report(embeddings: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
+def report(embeddings: DataFrame, k: int = 20, every: int = 20, block: int = BLOCK, group: int = GROUP) -> DataFrame:
     """The k nearest of every vector whose id is divisible by `every`, over all vectors.
 
     Vectors of different lengths: only those as long as most can be compared; a shorter or longer one has no
@@ -169,4 +168,19 @@ def report(embeddings: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     v = quantised(embeddings)
     usual = v.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).select("n")
     v = keep(v.join(usual, F.size("v") == F.col("n"), "left_semi"))
-    return top_k(v, v.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]), k)
+    return top_k(v, v.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]), k, block, group)
+
+
+REPORT_SQL = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
