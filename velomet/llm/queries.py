@@ -64,5 +64,8 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op4_topk": topk.REPORT_SQL,
     "op5_chat": chat.REPORT_SQL,
+    "op6_forest": forest.REPORT_SQL,
+    "op8_mixing": mixing.PLAN_SQL,
 }
