@@ -2,12 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velomet.llm.work import discard, keep
 
 
+def forest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the edges (a, b) of one task, those that connect something not connected before."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root = x
+        while (up := parent.get(root, root)) != root:
+            root = up
+        while x != root:
+            parent[x], x = root, parent.get(x, x)
+        return root
+
+    for batch in batches:
+        kept = []
+        for k, (a, b) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)):
+            a, b = find(a), find(b)
+            if a != b:
+                parent[a] = b
+                kept.append(k)
+        yield batch.take(pa.array(kept, pa.int64()))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of edges (a, b), root being the smallest node it can reach.
 
@@ -16,11 +41,13 @@ def components(edges: DataFrame) -> DataFrame:
     round is written to the shared folder and replaces the one before. Loops and null ends are ignored;
     an edge may be given in any direction and any number of times. Empty edges give an empty table.
     """
-    # Ends are drawn to the smaller one from the start, and a pair counts once.
+    # Dealt by the greater end, a node's links to many small ones meet in one task, which keeps only those
+    # that connect: a tight group is left with few edges, however many were found.
     now = keep(
         edges.where("a <> b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct()
+        .repartition("a")
+        .mapInArrow(forest, "a long, b long")
     )
     seen = None
     while True:

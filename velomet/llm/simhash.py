@@ -11,8 +11,8 @@ block them, one scan to verify them:
 
 Rows are dealt by key and scanned in key order. A key with few rows is compared pair by pair; one
 with many is walked: what a row reaches is taken off the list before the next row looks, so a tight
-group of thousands of near copies costs about as many comparisons as it has rows. What comes out is a
-spanning set of links, never all pairs.
+group of thousands of near copies costs about as many comparisons as it has rows. What comes out links each
+row to the smallest one it is connected to under the key, never all pairs.
 """
 
 from __future__ import annotations
@@ -143,24 +143,30 @@ def distance(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return sum(np.bitwise_count(x ^ y).astype(np.int16) for x, y in zip(a, b, strict=True))
 
 
-def links_of_run(nodes: np.ndarray, prints: list[np.ndarray], radius: int) -> list[tuple[int, int]]:
-    """A spanning set of the links among the rows of one key."""
-    left, found = np.arange(len(nodes)), []
+def walk(prints: list[np.ndarray], radius: int) -> np.ndarray:
+    """For each row of one key, the first row it is connected to over links within the radius."""
+    label = np.arange(len(prints[0]))
+    left = label
     while len(left):
-        front, left = [left[0]], left[1:]
+        start, front, left = left[0], [left[0]], left[1:]
         while front and len(left):
             at = front.pop()
             near = distance([p[at] for p in prints], [p[left] for p in prints]) <= radius
-            found += [(int(nodes[at]), int(nodes[x])) for x in left[near]]
+            label[left[near]] = start
             front += left[near].tolist()
             left = left[~near]
-    return found
+    return label
 
 
 def links_of_runs(
     key: np.ndarray, nodes: np.ndarray, prints: list[np.ndarray], radius: int
 ) -> pa.RecordBatch:
-    """Links among rows of equal keys; rows come in key order and runs are whole."""
+    """Links that connect what is connected among rows of equal keys, each row to the smallest node of its
+    part. Rows come in the order of key and node, and runs are whole.
+
+    Keys that hold the same rows name the same smallest nodes, so a group of m near copies that meets under
+    many keys leaves a few times m different links, not its pairs.
+    """
     edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
     sizes = np.diff(edges)
     size_of = np.repeat(sizes, sizes)
@@ -170,23 +176,26 @@ def links_of_runs(
         if not len(i):
             break
         i = i[distance([p[i] for p in prints], [p[i + shift] for p in prints]) <= radius]
-        left.append(nodes[i])
-        right.append(nodes[i + shift])
+        left.append(i)
+        right.append(i + shift)
+    label = np.arange(len(key))
+    if left:
+        i, j = np.concatenate(left), np.concatenate(right)
+        while (label[i] != label[j]).any():
+            least = np.minimum(label[i], label[j])
+            np.minimum.at(label, i, least)
+            np.minimum.at(label, j, least)
+            label = label[label]
     for run in np.flatnonzero(sizes > SHORT):
         part = slice(edges[run], edges[run + 1])
-        if pairs := links_of_run(nodes[part], [p[part] for p in prints], radius):
-            a, b = np.array(pairs, dtype=np.int64).T
-            left.append(a)
-            right.append(b)
-    pairs = np.array([[], []], dtype=np.int64)
-    if left:
-        pairs = np.stack([np.concatenate(left), np.concatenate(right)])
-        pairs = np.unique(np.sort(pairs[:, pairs[0] != pairs[1]], axis=0), axis=1)
+        label[part] = edges[run] + walk([p[part] for p in prints], radius)
+    moved = np.flatnonzero((label != np.arange(len(key))) & (nodes[label] != nodes))
+    pairs = np.unique(np.stack([nodes[label[moved]], nodes[moved]]), axis=1)
     return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
 
 def close_pairs(nodes: DataFrame, words: int, radius: int, masks: list[tuple[int, ...]]) -> DataFrame:
-    """Links (a, b) that connect all nodes within the radius that share a key.
+    """Links (a, b), some more than once, that connect all nodes within the radius that share a key.
 
     nodes has one row per different fingerprint: node, f0, f1, ...
     """
@@ -252,8 +261,8 @@ def close_pairs(nodes: DataFrame, words: int, radius: int, masks: list[tuple[int
         entries = entries.join(crowded, "key", "left_anti").drop("t").unionByName(fine)
     else:
         entries = entries.drop("t")
-    dealt = entries.repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(scan, "a long, b long").distinct()
+    dealt = entries.repartition("key").sortWithinPartitions("key", "node")
+    return dealt.mapInArrow(scan, "a long, b long")
 
 
 def near_duplicates(
