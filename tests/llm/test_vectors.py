@@ -131,6 +131,27 @@ def test_crowd_of_near_copies_in_tiles(spark, monkeypatch):
     assert sorted(map(tuple, got.collect()), key=str) == links(rows)
 
 
+def crowds(count, n, mean, width=64):
+    """Rows of one label in crowds, two rows of a crowd having the mean cosine given."""
+    draw = np.random.default_rng(11)
+    centres = draw.standard_normal((count, width))
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    away = draw.standard_normal((n, width)) / math.sqrt(width)
+    return math.sqrt(mean) * centres[draw.integers(0, count, n)] + math.sqrt(1 - mean) * away
+
+
+@pytest.mark.parametrize("count,n,mean,least", [(1, 6_000, 0.91, 1), (24, 12_000, 0.91, 0.998)])
+def test_forest_keeps_links_of_large_labels(spark, count, n, mean, least):
+    """Production parameters on one label of many rows: one crowd about the threshold, and many."""
+    x = crowds(count, n, mean)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    there = np.concatenate([(unit[i : i + 2_000] @ unit.T >= 0.93).sum(1) - 1 for i in range(0, n, 2_000)])
+    rows = [(i, v, 0) for i, v in enumerate(x.tolist())]
+    got = {r["vec_id"]: r["n_links"] for r in forest.near_duplicates(table(spark, rows)).collect()}
+    found = np.array([got[i] for i in range(n)])
+    assert there.sum() > 10_000 and (found <= there).all() and found.sum() >= least * there.sum()
+
+
 def test_real_vectors(spark, sf_dir):
     rows = [(r["vec_id"], [float(x) for x in r["embedding"]], r["label"]) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     rows += [(10_000 + i, [x + 0.01 for x in v], l) for i, v, l in rows[:60]]

@@ -10,6 +10,10 @@ thresholds come from at most SAMPLE rows of the cell, and every row of the cell
 split hardly shrinks, such as a crowd of near copies, is left whole and compared in square tiles of bounded
 size instead, so nothing is lost and no task grows.
 
+How deep a tree goes is bounded by what it keeps, not by the rows: every cell knows the share of pairs at the
+cosine asked for that all splits above it keep together, and a split that takes it below what so many trees
+make up for is not made. A label where trees would compare as much as all pairs is compared whole, once.
+
 No pair is emitted. A leaf gives the number of links of each vector, counting a pair only in the first of the
 cells that both share, and a spanning set of its links.
 """
@@ -34,6 +38,8 @@ TREES, LEAF, TILE = 10, 400, 1_500
 SAMPLE, LEVELS = 1_024, 4
 #: Half width of the overlap, in units of a unit vector's projection on a standard normal direction.
 SPILL = 0.12
+#: Share of the pairs at the threshold that all trees together may part.
+PARTED = 1e-3
 #: Directions of a tree; deeper levels use them again.
 DIRECTIONS = 24
 SEED = 9_301
@@ -50,25 +56,59 @@ def units(vectors: Iterable) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def cut(p: np.ndarray, level: int, depth: int) -> tuple[list[float], list[float]]:
+def together(x: np.ndarray, middle: float, least: float) -> float:
+    """Share of pairs at the cosine `least` that a split of a cell with projections x keeps in one side at
+    least. Projections of such a pair differ by sqrt(2 - 2 least) on average, but no more than those of any
+    two rows do: a pair of a crowd is parted as often as two of its rows drawn blindly."""
+    spread = max(float(x.std()), 1e-9)
+    like = max(0.0, 1 - (1 - least) / spread**2)
+    rest = spread * math.sqrt(1 - like**2) + 1e-12
+    away = np.abs(x - middle)
+    away = away[away > SPILL]
+    return 1 - sum(math.erfc((SPILL + like * a) / rest / math.sqrt(2)) / 2 for a in away.tolist()) / len(x)
+
+
+def floor_of(trees: int) -> float:
+    """The share that each of so many trees has to keep together for all to part no more than PARTED."""
+    return 1 - PARTED ** (1 / trees)
+
+
+def pays(p: np.ndarray, n: int, trees: int, leaf: int, least: float) -> bool:
+    """Whether trees over n rows, p being the projections of some, compare fewer pairs than there are. A level
+    leaves two cells with a share of the rows each; levels go on down to the leaf or to the floor."""
+    middle = np.median(p, axis=0)
+    share = float(np.mean(p <= middle + SPILL))
+    kept = float(np.mean([together(p[:, k], float(middle[k]), least) for k in range(DIRECTIONS)]))
+    if share > 0.8:
+        return False
+    levels = min(math.log(leaf / n) / math.log(share), math.log(floor_of(trees)) / min(math.log(kept), -1e-12))
+    return trees * (2 * share * share) ** levels < 1
+
+
+def cut(p: np.ndarray, level: int, depth: int, stays: float, floor: float, least: float) -> tuple[list[float], list[float], list[float]]:
     """Bounds of a subtree of the given depth over sample projections p: a row goes left at or under the
-    high bound and right at or over the low one. Infinite bounds: not split, all go left."""
+    high bound and right at or over the low one. Infinite bounds: not split, all go left. And, for its 2^depth
+    leaves, the share of close pairs that are still together, `stays` being that of the cell itself."""
     low, high = [math.inf] * (2**depth - 1), [math.inf] * (2**depth - 1)
     cells = {0: np.arange(len(p))}
+    shares = [stays] * (2 ** (depth + 1) - 1)
     for place in range(2**depth - 1):
         rows = cells.get(place)
+        shares[2 * place + 1] = shares[2 * place + 2] = shares[place]
         if rows is None or len(rows) < 2:
             continue
         depth_here = (place + 1).bit_length() - 1
         x = p[rows, (level + depth_here) % DIRECTIONS]
         middle = float(np.median(x))
         left, right = x <= middle + SPILL, x >= middle - SPILL
-        if max(left.sum(), right.sum()) > 0.8 * len(rows):
-            cells[2 * place + 1] = rows  # hardly shrinks here; the next direction may do better
+        after = shares[place] * together(x, middle, least)
+        if max(left.sum(), right.sum()) > 0.8 * len(rows) or after < floor:
+            cells[2 * place + 1] = rows  # hardly shrinks here, or parts too much; the next direction may do better
             continue
+        shares[2 * place + 1] = shares[2 * place + 2] = after
         low[place], high[place] = middle - SPILL, middle + SPILL
         cells[2 * place + 1], cells[2 * place + 2] = rows[left], rows[right]
-    return low, high
+    return low, high, shares[2**depth - 1 :]
 
 
 def settle(p: np.ndarray, level: np.ndarray, low: np.ndarray, high: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -141,8 +181,9 @@ def leaf_links(rows: pd.DataFrame, least: float) -> pd.DataFrame:
     )
 
 
-def _cells(nodes: DataFrame, trees: int, leaf: int) -> DataFrame:
+def _cells(nodes: DataFrame, trees: int, leaf: int, least: float) -> DataFrame:
     """(cell, node) of every leaf that every node is in, over all trees."""
+    floor = floor_of(trees)
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,32 +205,47 @@ def _cells(nodes: DataFrame, trees: int, leaf: int) -> DataFrame:
     def number(*parts: str) -> Column:
         return F.xxhash64(*parts)
 
+    def judge(rows: pd.DataFrame) -> pd.DataFrame:
+        x = units(rows.sort_values("node")["v"])
+        grown = pays(x @ directions(0, x.shape[1]), int(rows["n"].iloc[0]), trees, leaf, least)
+        return pd.DataFrame({"team": [rows["team"].iloc[0]], "grown": [grown]})
+
+    teams = nodes.groupBy("team").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > leaf)
+    asked = nodes.select("team", "node", "v").join(teams, "team").where(
+        F.pmod(F.xxhash64("node", "team"), F.lit(1 << 30)) < F.lit(float(SAMPLE) * (1 << 30)) / F.col("n")
+    )
+    grown = keep(asked.groupBy("team").applyInPandas(judge, "team long, grown boolean").where("grown"))
+    # Labels that trees do not pay for are one cell.
+    done = keep(nodes.join(grown, "team", "left_anti").select(number("team", F.lit(-1)).alias("cell"), "node"))
+    if grown.isEmpty():
+        return done
     open_ = keep(
-        nodes.select("team", "node", "v")
+        nodes.select("team", "node", "v").join(grown, "team", "left_semi")
         .mapInArrow(project, "team long, tree int, node long, p array<float>")
-        .select(number("team", "tree").alias("cell"), "node", F.lit(0).alias("level"), "p")
+        .select(number("team", "tree").alias("cell"), "node", F.lit(0).alias("level"), F.lit(1.0).alias("stays"), "p")
     )
-    done = None
     while True:
         sizes = open_.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
         large = keep(sizes.where(F.col("n") > leaf))
         if large.isEmpty():
-            ended = open_.select("cell", "node")
-            return ended if done is None else done.union(ended)
+            return done.union(open_.select("cell", "node"))
         depth = F.least(F.lit(LEVELS), F.ceil(F.log2(F.col("n") / leaf)).cast("int"))
 
         def fit(rows: pd.DataFrame) -> pd.DataFrame:
             d, level = int(rows["depth"].iloc[0]), int(rows["level"].iloc[0])
             rows = rows.sort_values("node")
-            low, high = cut(np.array(rows["p"].tolist()), level, d)
+            low, high, after = cut(np.array(rows["p"].tolist()), level, d, float(rows["stays"].iloc[0]), floor, least)
             stuck = all(x == math.inf for x in low)
-            return pd.DataFrame({"cell": [rows["cell"].iloc[0]], "depth": [d], "stuck": [stuck], "low": [low], "high": [high]})
+            columns = {"cell": [rows["cell"].iloc[0]], "depth": [d], "stuck": [stuck], "low": [low], "high": [high], "after": [after]}
+            return pd.DataFrame(columns)
 
         drawn = open_.join(large.withColumn("depth", depth), "cell").where(
             F.pmod(F.xxhash64("node", "cell"), F.lit(1 << 30)) < F.lit(float(SAMPLE) * (1 << 30)) / F.col("n")
         )
         splits = keep(
-            drawn.groupBy("cell").applyInPandas(fit, "cell long, depth int, stuck boolean, low array<double>, high array<double>")
+            drawn.groupBy("cell").applyInPandas(
+                fit, "cell long, depth int, stuck boolean, low array<double>, high array<double>, after array<double>"
+            )
         )
 
         def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,25 +260,27 @@ def _cells(nodes: DataFrame, trees: int, leaf: int) -> DataFrame:
                         int(d),
                     )
                     moved = part.iloc[at]
+                    after = np.array(part["after"].tolist())[at, place - (2 ** int(d) - 1)]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(moved["cell"].to_numpy()),
                             pa.array(place),
                             pa.array(moved["node"].to_numpy()),
                             pa.array((moved["level"] + int(d)).to_numpy(), pa.int32()),
+                            pa.array(after),
                             pa.array(moved["p"].tolist(), pa.list_(pa.float32())),
                         ],
-                        ["cell", "place", "node", "level", "p"],
+                        ["cell", "place", "node", "level", "stays", "p"],
                     )
 
         # Small cells and those without a split are leaves; the rest move and are looked at again.
         leaves = open_.join(splits.where("NOT stuck"), "cell", "left_anti").select("cell", "node")
         moved = (
             open_.join(splits.where("NOT stuck").drop("stuck"), "cell")
-            .mapInArrow(move, "cell long, place long, node long, level int, p array<float>")
-            .select(number("cell", "place").alias("cell"), "node", "level", "p")
+            .mapInArrow(move, "cell long, place long, node long, level int, stays double, p array<float>")
+            .select(number("cell", "place").alias("cell"), "node", "level", "stays", "p")
         )
-        done = keep(leaves if done is None else done.union(leaves))
+        done = keep(done.union(leaves))
         open_ = keep(moved)
 
 
@@ -250,7 +308,7 @@ def near_duplicates(embeddings: DataFrame, least: float = 0.93, trees: int = TRE
         # A tree begins with the vectors of one label and length.
         .withColumn("team", F.xxhash64("label", F.size("v")))
     )
-    cells = keep(_cells(nodes, trees, leaf).distinct())
+    cells = keep(_cells(nodes, trees, leaf, least).distinct())
     sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     lists = cells.groupBy("node").agg(F.sort_array(F.collect_list("cell")).alias("cells"))
     parts = F.ceil(F.col("n") / TILE).cast("int")
