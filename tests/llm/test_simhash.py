@@ -123,6 +123,24 @@ def test_sampled_masks_find_wide_pairs(spark):
     assert found >= 190
 
 
+def test_sampled_masks_miss_no_more_on_many_rows():
+    """At every distance up to the radius, for the number of rows of a large corpus."""
+    draw = np.random.default_rng(12)
+    masks = np.array(simhash.sampled_masks(2, 25, 10_000_000, 0.01), dtype=np.uint64)
+    for apart in (19, 22, 25):
+        flips = [simhash.as_words(draw.choice(128, size=apart, replace=False).tolist(), 2) for _ in range(2_000)]
+        flips = np.array(flips, dtype=np.uint64)
+        missed = np.mean([((f & masks) != 0).any(1).all() for f in flips])
+        assert missed <= 0.02, (apart, missed)
+
+
+def test_keys_in_several_goes(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(200)
+    whole = sorted(map(str, simhash.near_duplicates(docs, 5, 25, 2, 0.01).collect()))
+    monkeypatch.setattr(simhash, "KEYS", 16)
+    assert sorted(map(str, simhash.near_duplicates(docs, 5, 25, 2, 0.01).collect())) == whole
+
+
 def test_components(spark):
     draw = random.Random(2)
     edges = [(draw.randint(0, 300), draw.randint(0, 300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(64)]

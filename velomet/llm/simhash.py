@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velomet.llm.components import components
-from velomet.llm.work import keep
+from velomet.llm.work import discard, keep
 
 SEED = 42
 #: Shingles hashed at a time; bounds memory for very long texts.
@@ -37,6 +38,8 @@ CHUNK = 1 << 15
 SHORT = 24
 #: Rows of one key above which it is cut into finer blocks.
 CROWDED = 20_000
+#: Keys searched at a time; bounds the rows that are dealt at once.
+KEYS = 64
 
 
 def shingle_hashes(text: bytes, size: int) -> Iterator[np.ndarray]:
@@ -113,14 +116,15 @@ def pigeonhole_masks(words: int, radius: int) -> list[tuple[int, ...]]:
 def sampled_masks(
     words: int, radius: int, rows: int, missed: float, seed: int = SEED
 ) -> list[tuple[int, ...]]:
-    """Keys of drawn bits: two more than log2(rows) bits each, and as many keys as make a pair at two
-    thirds of the radius be missed with the given probability (a pair closer than that less often)."""
-    bits = math.ceil(math.log2(max(rows, 2))) + 2
-    same = (1 - radius * 2 / 3 / (64 * words)) ** bits
+    """Keys of drawn bits: one fewer than log2(rows) bits each, and as many keys as make a pair at the
+    radius be missed with the given probability (a pair closer than that less often)."""
+    width = 64 * words
+    bits = min(max(1, math.ceil(math.log2(max(rows, 2))) - 1), width - radius)
+    same = math.prod((width - radius - i) / (width - i) for i in range(bits))
     draw = np.random.default_rng(seed)
     n = math.ceil(math.log(1 / missed) / same)
     return [
-        as_words(draw.choice(64 * words, size=min(bits, 64 * words), replace=False).tolist(), words)
+        as_words(draw.choice(width, size=bits, replace=False).tolist(), words)
         for _ in range(n)
     ]
 
@@ -287,7 +291,14 @@ def near_duplicates(
         if missed is None
         else sampled_masks(words, radius, nodes.count(), missed)
     )
-    roots = components(close_pairs(nodes.select("node", *names), words, radius, masks))
+    shown = nodes.select("node", *names)
+    if len(masks) <= KEYS:
+        roots = components(close_pairs(shown, words, radius, masks))
+    else:
+        parts = [keep(close_pairs(shown, words, radius, masks[at : at + KEYS])) for at in range(0, len(masks), KEYS)]
+        roots = components(reduce(DataFrame.union, parts))
+        for part in parts:
+            discard(part)
     # Nodes without links stay out of the second grouping: they are their own component.
     linked = nodes.join(roots, "node", "left")
     groups = linked.where("root IS NOT NULL").groupBy("root").agg(F.min("first").alias("least"))
