@@ -57,6 +57,14 @@ def test_added_kinds():
     assert pii.find("see https://ann:pw@h/x?u=7, https://plain.example/x?u=7") == [(4, "url", 26)]
 
 
+def test_long_secrets_are_found_whole():
+    secret = "a1B2" * 100
+    assert pii.find(f"token = {secret} end") == [(8, "secret", 408)]
+    assert pii.mask(f"password: {secret}.") == "password: <secret>."
+    pii.find("token=" + "a1" * 200_000)
+    pii.find("token=a1-" * 50_000)
+
+
 def test_clean_prose_has_none():
     assert pii.find("On 12.05.2020 the token was passed; a secret garden, version 1.2.3, page 44-45.") == []
 

@@ -46,7 +46,7 @@ URL_REST = re.compile(r"[^\s\"'<>{}|\\^`\[\]]*")
 AFTER_CUE = re.compile(r"[ \t]{0,3}[.:#=]{0,2}[ \t]{0,3}[\"']?")
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 NUMBER = re.compile(r"[0-9](?:[ -]?[0-9]){5,17}(?![0-9])")
-SECRET = re.compile(r"[A-Za-z0-9_-]{20,200}")
+SECRET = re.compile(r"[A-Za-z0-9_-]{20,}")
 
 
 @functools.cache
