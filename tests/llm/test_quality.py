@@ -17,6 +17,15 @@ def test_votes_know_their_faults():
     assert quality.votes(b"four words are few") == 0
 
 
+def test_repetition_is_looked_for_in_whole_texts():
+    at = quality.LABELLERS.index("repetition")
+    varied = " ".join(f"word{i}" for i in range(quality.CHUNK))
+    vote = lambda text: quality.opinions(quality.votes(text.encode()))[at]
+    assert vote(varied) == vote(f"{varied} spam spam spam") == quality.GOOD
+    for more in (quality.CHUNK, quality.CHUNK + 7, 3 * quality.CHUNK):
+        assert vote(varied + " spam" * more) == quality.BAD
+
+
 def test_estimate_tells_unlike_faults_apart():
     """Two faults that never meet, and a labeller that votes bad at random."""
     draw = np.random.default_rng(0)

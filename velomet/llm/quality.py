@@ -58,7 +58,9 @@ def votes(text: bytes) -> int:
     letters = max(1, lower + upper)
     loose = sum(len(w) == 1 and not w.isalnum() and w < b"\x80" for w in words)
     ends = sum(text.count(c) for c in (b".", b"?", b"\n"))
-    different = len(set(words[:CHUNK])) / min(n, CHUNK)  # longer texts repeat their words by nature
+    # In the worst stretch of CHUNK words, since longer texts repeat their words by nature; the last ends the text.
+    size = min(n, CHUNK)
+    different = min(len(set(words[at : at + size])) for at in (*range(0, n - size, size), n - size)) / size
     length = shown / n
 
     def cast(bad: bool, good: bool) -> int:
