@@ -69,12 +69,13 @@ def collapse_hours(observations: DataFrame) -> DataFrame:
 
     The routine report is the hour's reading; specials only fill hours without one. Their
     precipitation overlaps the routine total, so such an hour takes the largest. Gusts and flags
-    take the hour's maximum. A repeated hour in autumn averages both of its readings.
+    take the hour's maximum. A repeated hour in autumn averages both of its readings. Means are
+    rounded to six digits, so that a mean on the edge of a band lies there whatever the order of its readings.
     """
 
     def preferred(name: str, fallback=F.avg) -> Column:
         routine = F.when(F.col("report_type") == ROUTINE_REPORT, F.col(name))
-        return F.coalesce(F.avg(routine), fallback(F.col(name))).alias(name)
+        return steady_round(F.coalesce(F.avg(routine), fallback(F.col(name))), 6).alias(name)
 
     return observations.groupBy(clock_hour(F.col("obs_time_local")).alias("hour_dt")).agg(
         preferred("temp_f"),

@@ -176,7 +176,8 @@ def observation_number(c: str, trace: bool) -> str:
 
 
 def preferred(c: str, fallback: str = "avg") -> str:
-    return f"COALESCE(avg({c}) FILTER (WHERE report_type = 'FM-15'), {fallback}({c})) AS {c}"
+    mean = f"COALESCE(avg({c}) FILTER (WHERE report_type = 'FM-15'), {fallback}({c}))"
+    return f"{r(mean, 6)} AS {c}"
 
 
 def segment_rows(columns: str, source: str) -> str:
