@@ -10,7 +10,7 @@ from velomet.llm.queries import ORACLE_SQL, QUERIES
 
 
 def test_names():
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES] == list(range(1, 14))
     assert QUERIES.keys() | {"pipeline"} <= entry_points.queries().keys()
 
 

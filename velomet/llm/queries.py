@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from velomet.llm import bpe, chat, forest, hpylm, langid, mixing, pii, quality, simhash, topk
+from velomet.llm import bpe, chat, fim, forest, hpylm, langid, mixing, negatives, packing, pii, quality, simhash, topk
 from velomet.llm.work import table
 
 
@@ -50,6 +50,18 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "pages"), langid.fit(table(spark, sf_dir, "documents")))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.report(table(spark, sf_dir, "documents"))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
@@ -61,6 +73,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_pii": op9_pii,
     "op10_langid": op10_langid,
+    "op11_packing": op11_packing,
+    "op12_fim": op12_fim,
+    "op13_negatives": op13_negatives,
 }
 
 ORACLE_SQL = {
@@ -68,4 +83,6 @@ ORACLE_SQL = {
     "op5_chat": chat.REPORT_SQL,
     "op6_forest": forest.REPORT_SQL,
     "op8_mixing": mixing.PLAN_SQL,
+    "op12_fim": fim.REPORT_SQL,
+    "op13_negatives": negatives.REPORT_SQL,
 }
