@@ -77,15 +77,15 @@ def test_whole_table(spark, sf_dir):
     assert sums == {(p["doc_id"], p["start"]): zlib.crc32(np.array(p["ids"], "<u4").tobytes()) for p in pieces}
 
 
-def test_forgetting_changes_nothing(monkeypatch):
-    texts = [f"word{i} and {i * 7919 % 1000} more, isn't it? " * 3 for i in range(300)]
-    monkeypatch.setattr(packing, "REMEMBERED", 50)
-    monkeypatch.setattr(packing, "PIECES", 7)
+def test_coder_equals_the_library():
     with open(PATH, encoding="utf-8") as file:
         own = packing.Coder(file.read())
-    for t in texts:
-        assert [*own.encode(t), 0] == ids_of(t)
-    assert len(own.known) + len(own.older) <= 120
+    assert own.ranked is not None
+    points = [c for c in [*range(0xD800), *range(0xE000, 0x32000), *range(0xE0000, 0xE0200), 0x10FFFF]]
+    texts = [f"a{chr(c)}a 1{chr(c)}1 !{chr(c)}! {chr(c)}{chr(c)} b" for c in points]
+    texts += ["x" * 50_000, "\n" * 1_000_000 + "a", " " * 1_000_000 + "a", "é" * 9_999, "<|endoftext|> <|endoftext|>x", "it's WE'LL i'd 'tis"]
+    for text, want in zip(texts, LIBRARY.encode_batch(texts, add_special_tokens=False)):
+        assert own.encode(text).tolist() == want.ids, text[:30]
 
 
 def test_buckets_and_batches(spark, sf_dir, tmp_path):

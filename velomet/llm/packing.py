@@ -15,25 +15,24 @@ import functools
 import itertools
 import json
 import zlib
-from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from velomet.llm.bpe import byte_letters
+
 #: Most tokens of a sequence, and the id that ends a document.
 LONGEST, END = 1024, 0
 #: Bits of a sequence number for the place in the task and for the task.
 PLACE, TASK = 35, 24
-#: Pieces of text remembered by a Python worker, in each of two generations, and the longest such piece.
-REMEMBERED, SHORT = 300_000, 64
-#: Texts whose ids are held at a time, and pieces of text looked up at a time.
-TEXTS, PIECES = 200, 50_000
+#: Texts whose ids are held at a time.
+TEXTS = 200
 #: How byte-level files of this kind cut a text before merging (fixed value, part of the format).
 CUT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -41,10 +40,11 @@ SCHEMA = "doc_id long, start long, length long, ids array<int>, doc_tokens long,
 
 
 class Coder:
-    """Ids of whole texts by the tokenizers library, which is asked once for every recent piece of text.
+    """Ids of whole texts as the tokenizers library gives them for a byte-level BPE file.
 
-    A byte-level file merges within the pieces that its pattern cuts, so a text's ids are those of its pieces
-    side by side; special tokens in a text stay what they are.
+    The file's merges, as ranks, go to an encoder that keeps no offsets and takes a quarter of the library's
+    time; ids are the same (tests compare them over all code points). Texts whose runs of white space are beyond what
+    that encoder's pattern can step back over go through the library itself.
     """
 
     def __init__(self, file: str):
@@ -52,45 +52,27 @@ class Coder:
         self.library.no_truncation()
         self.library.no_padding()
         rules = json.loads(file)
-        self.special = {t["content"]: t["id"] for t in rules["added_tokens"]}
-        if rules["normalizer"] or rules["pre_tokenizer"]["type"] != "ByteLevel" or rules["pre_tokenizer"]["add_prefix_space"]:
-            raise ValueError("not a plain byte-level file: its pieces cannot be encoded one by one")
-        self.cut = regex.compile(CUT)
-        self.names = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
-        self.known: dict[str, array] = {}
-        self.older: dict[str, array] = {}
-
-    def pieces(self, text: str) -> Iterator[str]:
-        """Special tokens and pieces of a text, in order; the text between special tokens is cut by itself."""
-        at = 0
-        for m in self.names.finditer(text):
-            yield from self.cut.findall(text, at, m.start())
-            yield m[0]
-            at = m.end()
-        yield from map(regex.Match.group, self.cut.finditer(text, at))
-
-    def learn(self, pieces: Iterable[str]) -> dict[str, array]:
-        """Ids of pieces that are not among the recent ones; the short ones are remembered."""
-        new = {p: ids for p in pieces if (ids := self.older.get(p)) is not None}
-        asked = [p for p in pieces if p not in new]
-        new.update(zip(asked, (array("i", e.ids) for e in self.library.encode_batch(asked, add_special_tokens=False))))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.older, self.known = self.known, {}
-        self.known.update((p, ids) for p, ids in new.items() if len(p) <= SHORT)
-        return new
-
-    def encode(self, text: str) -> array:
-        out = array("i")
-        left = self.pieces(text)
-        while some := list(itertools.islice(left, PIECES)):
-            find = self.known.get
-            found = list(map(find, some))
-            if None in found:
-                new = self.learn(dict.fromkeys(p for p, ids in zip(some, found) if ids is None))
-                found = [new[p] if ids is None else ids for p, ids in zip(some, found)]
-            for ids in found:
-                out += ids
-        return out
+        vocab, merges = rules["model"]["vocab"], rules["model"]["merges"]
+        made = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in merges]
+        self.ranked = None
+        if (
+            rules["pre_tokenizer"]["type"] == "ByteLevel"
+            and not rules["normalizer"]
+            and not rules["pre_tokenizer"]["add_prefix_space"]
+            and made == sorted(made)  # the rank of a merge is the rank of what it makes
+        ):
+            special = {t["content"]: t["id"] for t in rules["added_tokens"]}
+            value = {letter: byte for byte, letter in enumerate(byte_letters())}
+            ranks = {bytes(value[c] for c in token): i for token, i in vocab.items() if token not in special}
+            self.ranked = tiktoken.Encoding("file", pat_str=CUT, mergeable_ranks=ranks, special_tokens=special)
+
+    def encode(self, text: str) -> np.ndarray:
+        if self.ranked is not None:
+            try:
+                return self.ranked.encode_to_numpy(text, allowed_special="all").astype(np.int32)
+            except ValueError:
+                pass  # its pattern gave up
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32)
 
 
 @functools.lru_cache(maxsize=1)
@@ -123,13 +105,9 @@ def pack(docs: DataFrame, path: str, longest: int = LONGEST, end: int = END) ->
         for batch in batches:
             for first in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(first, TEXTS)
-                flat, sizes, cuts = array("i"), [], []
-                for text in part.column(1):
-                    ids = own.encode(text.as_py() or "")
-                    ids.append(end)
-                    flat += ids
-                    sizes.append(len(ids))
-                    cuts.append(lengths(len(ids), longest))
+                found = [np.append(own.encode(text.as_py() or ""), np.int32(end)) for text in part.column(1)]
+                sizes = list(map(len, found))
+                cuts = [lengths(n, longest) for n in sizes]
                 counts = np.fromiter(map(len, cuts), np.int64, len(cuts))
                 length = np.fromiter(itertools.chain.from_iterable(cuts), np.int64)
                 ends = np.concatenate([[0], np.cumsum(length)])
@@ -142,7 +120,7 @@ def pack(docs: DataFrame, path: str, longest: int = LONGEST, end: int = END) ->
                     place[mine] = placed[b] + np.arange(len(mine))
                     placed[b] += len(mine)
                 number = bucket << (PLACE + TASK) | task << PLACE | place
-                ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(flat, np.int32)))
+                ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate(found)))
                 doc = part.column(0).take(pa.array(np.repeat(np.arange(len(cuts)), counts)))
                 columns = [doc, ends[:-1] - before, length, ids, np.repeat(size, counts), number, np.zeros(len(length), np.int64)]
                 names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
