@@ -31,6 +31,11 @@ def _mean_distance() -> Column:
     return steady_round(F.avg("distance_meters"), 1).alias("avg_distance_meters")
 
 
+def hour_measures() -> list[Column]:
+    """Counts and means of one hour's trips."""
+    return [*_counts(), _mean_minutes(), _mean_distance()]
+
+
 def daily_trips(trips: DataFrame, cutover: str = CURRENT_ERA_START) -> DataFrame:
     """One row per local day. The median is a mergeable sketch, lower middle for even counts."""
     median = F.percentile_approx("trip_duration_seconds", 0.5, MEDIAN_ACCURACY)
@@ -49,7 +54,7 @@ def daily_trips(trips: DataFrame, cutover: str = CURRENT_ERA_START) -> DataFrame
 def hourly_trips(trips: DataFrame, cutover: str = CURRENT_ERA_START) -> DataFrame:
     """One row per local clock hour with at least one trip."""
     hours = owned_rows(trips, cutover).groupBy(clock_hour(F.col("start_time")).alias("hour_ts"))
-    mart = hours.agg(*_counts(), _mean_minutes(), _mean_distance())
+    mart = hours.agg(*hour_measures())
     keys = [
         "hour_ts",
         F.to_date("hour_ts").alias("date"),

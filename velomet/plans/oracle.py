@@ -26,6 +26,7 @@ from velomet.fixed_values import (
 )
 from velomet.operators.weather_daily import WEATHER_DAILY_COLUMNS, WEATHER_DAILY_HOME_COLUMNS
 from velomet.plans import oracle_fits as fits
+from velomet.plans import oracle_upkeep as upkeep
 from velomet.plans.standins import COUNTIES, CUTOVER, ELEMENT_ORDER, TRIANGLE, zip_rectangles
 
 
@@ -651,6 +652,14 @@ BODIES |= {
     "rain_totals": fits.totals_sql(r),
     "empty_years": "SELECT m AS model, (SELECT count(*) FROM joined WHERE year(date) IN (1850, 1851)) AS n FROM (VALUES ('adjusted'), ('impacts'), ('profile'), ('dayparts')) t(m)",
 }
+CTES |= upkeep.closed_ctes(CTES["event_trips"], hour_mart) | upkeep.LOADS_CTES | upkeep.station_rows(OWNED, name_key)
+BODIES |= {
+    "hourly_trips_closed": upkeep.CLOSED,
+    "daily_trips_three_loads": upkeep.LOADS,
+    "median_rollups": upkeep.medians(OWNED),
+    "station_totals_merged": upkeep.STATION_TOTALS,
+    "stations_between_years": upkeep.STATIONS_KEPT,
+}
 
 
 def _finish(body: str) -> str:

@@ -787,3 +787,4 @@ def lowess_grid(spark, sf):
 
 # Queries over stored files register themselves above.
 import velomet.plans.stored  # noqa: E402, F401
+import velomet.plans.upkeep  # noqa: E402, F401
