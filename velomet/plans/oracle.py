@@ -27,6 +27,7 @@ from velomet.fixed_values import (
 from velomet.operators.weather_daily import WEATHER_DAILY_COLUMNS, WEATHER_DAILY_HOME_COLUMNS
 from velomet.plans import oracle_fits as fits
 from velomet.plans import oracle_upkeep as upkeep
+from velomet.sources.descriptions import COLUMN_DESCRIPTIONS
 from velomet.plans.standins import COUNTIES, CUTOVER, ELEMENT_ORDER, TRIANGLE, zip_rectangles
 
 
@@ -657,6 +658,13 @@ BODIES |= {
     "hourly_trips_closed": upkeep.CLOSED,
     "daily_trips_three_loads": upkeep.LOADS,
     "median_rollups": upkeep.medians(OWNED),
+    "catalog_views": f"SELECT *, 3::BIGINT AS sources FROM ({day_mart('trips', OWNED + chr(32) + upkeep.PRESENT)})",
+    "observation_pivot_bucketed": "SELECT * FROM wide",
+    "daily_trips_weather_bucketed": "SELECT * FROM joined",
+    "catalog_station_view": "SELECT * FROM station_months",
+    "catalog_hourly_views": "SELECT * FROM hour_joined",
+    "snapshot_descriptions": upkeep.descriptions(WEATHER_DAILY_HOME_COLUMNS, COLUMN_DESCRIPTIONS["weather_daily_nyc"]),
+    "trip_files_one_scan": upkeep.one_scan(RAW_CELLS),
     "station_totals_merged": upkeep.STATION_TOTALS,
     "stations_between_years": upkeep.STATIONS_KEPT,
 }

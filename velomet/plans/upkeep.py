@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from velomet.operators import sketches, trip_marts
 from velomet.plans import standins
 from velomet.plans.queries import query
-from velomet.plans.stored import _folder
+from velomet.session import new_folder
 from velomet.sources import refresh
 from velomet.streaming import closed_hours as closing
 
@@ -16,7 +16,7 @@ from velomet.streaming import closed_hours as closing
 def hourly_trips_closed(spark, sf):
     """The hourly mart after two arrivals of events, a tenth of the first half of the month coming with the second: hours closed in
     time, and the trips that came too late for theirs."""
-    folder = _folder(spark, "closed-hours")
+    folder = new_folder(spark, "closed-hours")
     events = standins.table(spark, sf, "events")
     first = (F.dayofmonth("ts") <= 15) & (F.col("event_id") % 10 != 3)
     for arrival in (first, ~first):
@@ -44,7 +44,7 @@ def _delivered(spark: SparkSession, sf: str, run: int) -> DataFrame:
 @query
 def daily_trips_three_loads(spark, sf):
     """The daily mart brought up to date after each of three runs; ``load`` is the run that computed the day last."""
-    store = refresh.TripStore(_folder(spark, "loads"))
+    store = refresh.TripStore(new_folder(spark, "loads"))
     for run in (1, 2, 3):
         trips = _delivered(spark, sf, run)
         listing = trips.groupBy(F.col("source_file").alias("path")).agg(F.count(F.lit(1)).alias("size"))
@@ -62,7 +62,7 @@ def median_rollups(spark, sf):
     """Durations of months, years, regions and all, merged from a stored daily mart of sketches; ``within`` says that the
     median's exact rank is as near the middle as the sketch promises."""
     trips = standins.trips(spark, sf)
-    folder = _folder(spark, "durations")
+    folder = new_folder(spark, "durations")
     sketches.daily_durations(trips, standins.CUTOVER).write.parquet(folder)
     daily = spark.read.parquet(folder)
     nothing = F.lit(None).cast("string")
@@ -89,7 +89,7 @@ def median_rollups(spark, sf):
 
 
 def _station_sets(spark: SparkSession, sf: str) -> DataFrame:
-    folder = _folder(spark, "station-sets")
+    folder = new_folder(spark, "station-sets")
     sketches.monthly_station_sets(standins.trips(spark, sf), standins.CUTOVER).write.parquet(folder)
     return spark.read.parquet(folder)
 

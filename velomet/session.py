@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Settings every job wants, whatever the cluster. Sizes that depend on the cluster
@@ -44,3 +46,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own for the tables of one run, in the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4()}"

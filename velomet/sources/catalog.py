@@ -86,6 +86,18 @@ def snapshot(
     return seen.get["rows"]
 
 
+def store_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Store a table in ``buckets`` files by hash of ``keys``, sorted by them, and read it back.
+
+    Aggregations on the keys, and joins on them with a table of as many buckets, then need no shuffle. Choose keys
+    that spread: a bucket of a key that holds a third of the rows is one task's work, so add a column (the date to
+    a station) where one does.
+    """
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def with_descriptions(df: DataFrame, relation: str) -> DataFrame:
     """Attach column descriptions as metadata; they travel with a table write."""
     texts = COLUMN_DESCRIPTIONS[relation]
