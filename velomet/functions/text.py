@@ -13,6 +13,7 @@ _SPACES = " \t\n\x0b\f\r"
 _NUMBER_CHARACTERS = "0123456789+-.eE"
 _MONTH_FIRST = r"^(\d{1,2})/(\d{1,2})/(\d{4})(.*)$"
 _THIS_CENTURY = r"^(\d{1,2}/\d{1,2}/)([0-5]\d|6[0-8])(?!\d)"
+_HOUR = r"[ T](\d{1,2}):"
 _LAST_CENTURY = r"^(\d{1,2}/\d{1,2}/)(69|[7-9]\d)(?!\d)"
 
 
@@ -64,18 +65,19 @@ def to_wall_clock(c: Column) -> Column:
     """
     s = strip(c)
     half = F.upper(F.right(s, F.lit(2)))
-    bare = F.when(half.isin("AM", "PM"), F.rtrim(F.left(s, F.length(s) - 2))).otherwise(s)
-    years = F.regexp_replace(F.regexp_replace(bare, _THIS_CENTURY, "$120$2"), _LAST_CENTURY, "$119$2")
-    iso = F.when(bare.contains("/"), F.regexp_replace(years, _MONTH_FIRST, "$3-$1-$2$4")).otherwise(bare)
-    time = F.when(F.locate("-", iso, 6) > 0, iso.try_cast("timestamp_ntz"))
-    noon = F.make_dt_interval(hours=F.lit(12))
-    hour = F.hour(time)
-    return (
-        F.when((half == "PM") & (hour < 12), time + noon)
-        .when((half == "AM") & (hour == 12), time - noon)
-        .when(half.isin("AM", "PM") & (hour > 12), None)
-        .otherwise(time)
-    )
+    bare = F.rtrim(F.left(s, F.length(s) - 2))
+    # The hour as written, so that the time itself stands in the expression once.
+    hour = F.coalesce(F.regexp_extract(bare, _HOUR, 1).try_cast("int"), F.lit(0))
+    moved = F.when((half == "PM") & (hour < 12), 12).when((half == "AM") & (hour == 12), -12).otherwise(0)
+    halves = F.when(hour <= 12, _whole_day(bare) + F.make_dt_interval(hours=moved))
+    return F.when(half.isin("AM", "PM"), halves).otherwise(_whole_day(s))
+
+
+def _whole_day(s: Column) -> Column:
+    """A time of 24 hours, year first or month first."""
+    years = F.regexp_replace(F.regexp_replace(s, _THIS_CENTURY, "$120$2"), _LAST_CENTURY, "$119$2")
+    iso = F.regexp_replace(years, _MONTH_FIRST, "$3-$1-$2$4")
+    return F.when(s.contains("/"), iso.try_cast("timestamp_ntz")).when(F.locate("-", s, 6) > 0, s.try_cast("timestamp_ntz"))
 
 
 def typed_cell(c: Column, type_name: str) -> Column:

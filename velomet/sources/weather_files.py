@@ -92,31 +92,33 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 def hourly_observations(
     raw: DataFrame, station: str | Column = HOME_STATION, order: Sequence[str] = LINE_ORDER
 ) -> DataFrame:
-    """Typed observations: routine and special reports only, each (time, report) once."""
+    """Typed observations: routine and special reports only, each (time, report) once.
+
+    The first of repeated reports is picked among raw cells, so that only its keys are worked on below the shuffle and only
+    what is kept gets typed. Cells and keys in one projection would also be more than one generated method may hold.
+    """
     sources = [src for src, *_ in (*OBSERVATION_NUMBERS, *OBSERVATION_TEXTS) if src in raw.columns]
     report = strip(F.col("REPORT_TYPE"))
-    kept = observation_cells(raw.filter(report.isin(KEPT_REPORTS)), sources)
-    numbers = [
-        (observation_number(F.col(src), trace) if src in sources else F.lit(None).cast("double")).alias(name)
-        for src, name, trace in OBSERVATION_NUMBERS
-    ]
-    texts = [
-        (optional_text(F.col(src)) if src in sources else F.lit(None).cast("string")).alias(name)
-        for src, name in OBSERVATION_TEXTS
-    ]
     station_id = F.lit(station) if isinstance(station, str) else station
-    typed = kept.select(
+    keyed = raw.filter(report.isin(KEPT_REPORTS)).select(
         station_id.alias("station_id"),
         to_wall_clock(F.col("DATE")).alias("obs_time_lst"),
         report.alias("report_type"),
-        *numbers,
-        *texts,
+        *sources,
         "source_file",
         *[F.col(c).alias(f"_{c}") for c in order],
     )
     keys = ["station_id", "obs_time_lst", "report_type"]
-    first = keep_first(typed, keys, [f"_{c}" for c in order])
-    return first.drop(*[f"_{c}" for c in order])
+    first = observation_cells(keep_first(keyed, keys, [f"_{c}" for c in order]), sources)
+    numbers = [
+        (observation_number(F.col(src), trace) if src in sources else F.lit(None).cast("double")).alias(name)
+        for src, name, trace in OBSERVATION_NUMBERS
+    ]
+    texts = [
+        (optional_text(F.col(src)) if src in sources else F.lit(None).cast("string")).alias(name)
+        for src, name in OBSERVATION_TEXTS
+    ]
+    return first.select(*keys, *numbers, *texts, "source_file")
 
 
 def write_hourly_observations(observations: DataFrame, folder: str) -> None:
