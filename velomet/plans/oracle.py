@@ -653,8 +653,10 @@ BODIES |= {
     "rain_totals": fits.totals_sql(r),
     "empty_years": "SELECT m AS model, (SELECT count(*) FROM joined WHERE year(date) IN (1850, 1851)) AS n FROM (VALUES ('adjusted'), ('impacts'), ('profile'), ('dayparts')) t(m)",
 }
+CTES |= upkeep.lowess_ctes()
 CTES |= upkeep.closed_ctes(CTES["event_trips"], hour_mart) | upkeep.LOADS_CTES | upkeep.station_rows(OWNED, name_key)
 BODIES |= {
+    "lowess_observations": upkeep.lowess_sql(r),
     "hourly_trips_closed": upkeep.CLOSED,
     "daily_trips_three_loads": upkeep.LOADS,
     "median_rollups": upkeep.medians(OWNED),

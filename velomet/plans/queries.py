@@ -18,7 +18,7 @@ from velomet.functions.geo import great_circle_meters
 from velomet.functions.text import name_key, present_weather_flag
 from velomet.functions.units import steady_round
 from velomet.operators import climatology, profiles, quality, series, spatial, trip_marts, weather_daily, weather_hourly
-from velomet.operators.lowess import lowess, lowess_at_rows
+from velomet.operators.lowess import lowess, lowess_at_observations, lowess_at_rows
 from velomet.operators.regression import Design, cluster_sums, collect_moments, hac_sums, moment_sums, solve
 from velomet.plans import daily_impacts, hourly_rain, standins, weather_adjusted
 from velomet.session import checkpoint_dir
@@ -785,6 +785,14 @@ def lowess_grid(spark, sf):
     return rounded(lowess(days, "tavg_f", "num_nyc_trips", 0.3, by=("season",)), ["x", "fit"])
 
 
+@query
+def lowess_observations(spark, sf):
+    """The trend at every day, each fitted to its own nearest days of the season."""
+    days = standins.trips_with_weather(spark, sf).filter(F.col("date").isNotNull())
+    fits = lowess_at_observations(days, "tavg_f", "num_nyc_trips", 0.3, by=("season",), carry=("date",))
+    return rounded(fits, ["x", "y", "fit"])
+
+
 # Queries over stored files register themselves above.
 import velomet.plans.stored  # noqa: E402, F401
 import velomet.plans.upkeep  # noqa: E402, F401
