@@ -1,5 +1,7 @@
 """Language of pages: truth of made pages, sums by hand, awkward pages."""
 
+import time
+
 import numpy as np
 import pytest
 
@@ -74,3 +76,18 @@ def test_held_out_languages(spark):
     got = {r["page_id"]: r["lang"] for r in langid.identify(as_pages, fitted).collect()}
     truth = {r["doc_id"]: r["lang"] for r in rest.collect()}
     assert np.mean([got[i] == x for i, x in truth.items()]) > 0.97
+
+
+@pytest.mark.parametrize("piece", ["<script", "<!--", "<script>", "<nav><!-- ", "</script ", "<style></styl", "<", "<html lang=", "<html lang= ", " "])
+def test_ten_megabytes_of_bad_markup(piece):
+    page = "<html lang=" + piece * (10_000_000 // len(piece))
+    start = time.monotonic()
+    langid.visible(page)
+    langid.DECLARED.search(page)
+    assert time.monotonic() - start < 20
+
+
+def test_visible():
+    assert langid.visible("a<!-- x <b> --> b<SCRIPT src=1>no</script >c<style>no<!--</Style>d").split() == ["a", "b", "c", "d"]
+    assert langid.visible("a<script>b<nav>no</nav>c<!-- d").split() == ["a", "b", "c<!--", "d"]
+    assert langid.visible("<!-->a--> <scripts>b</scripts> &amp;<p>c").split() == ["b", "&", "c"]

@@ -3,7 +3,9 @@
 import hashlib
 import random
 import re
+import time
 
+import pytest
 from edge import awkward, empty
 
 from velomet.llm import pii
@@ -90,3 +92,23 @@ def test_masked(spark):
 def test_long_runs_stay_linear():
     for text in ("a" * 100_000 + "@", "1." * 50_000, "+" * 50_000, "a@" * 50_000, "1" * 100_000, "+1 " + "(" * 50_000):
         pii.find(text)
+
+
+@pytest.mark.parametrize("piece", ["http://", "https://a.b/", "http://x@y/", "http://....", "ftp://a:b@"])
+def test_ten_megabytes_of_schemes(piece):
+    start = time.monotonic()
+    pii.find(piece * (10_000_000 // len(piece)))
+    assert time.monotonic() - start < 10 * slowness()
+
+
+def slowness():
+    """How many times as long as on a free machine a plain loop takes, one at least."""
+    start = time.process_time()
+    sum(i * i for i in range(3_000_000))
+    return max(1.0, (time.process_time() - start) / 0.2)
+
+
+def test_addresses_inside_addresses():
+    text = "see http://me@a.example/x?u=http://you@b.example/y). End ftp://u:p@h, http://plain.example/a@b"
+    got = [(k, text[a:b]) for a, k, b in pii.find(text) if k == "url"]
+    assert got == [("url", "http://me@a.example/x?u=http://you@b.example/y"), ("url", "http://you@b.example/y"), ("url", "ftp://u:p@h")]

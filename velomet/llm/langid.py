@@ -34,9 +34,12 @@ LANGUAGES = 256
 TEMPER, STRENGTH, PSEUDO = 0.2, 4.0, 1.0
 CHUNK = 1 << 16
 
-SILENT = re.compile(r"<!--.*?-->|<(script|style|nav|template|noscript)\b.*?</\1\s*>", re.S | re.I)
+SILENT = re.compile(r"<(!--|(?:script|style|nav|template|noscript)\b)", re.I)
+CLOSE = {"!--": re.compile("-->")} | {
+    k: re.compile(rf"</{k}\s*>", re.I) for k in ("script", "style", "nav", "template", "noscript")
+}
 TAG = re.compile(r"<[^<>]*>")
-DECLARED = re.compile(r"<html\b[^<>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]{2,3})\b", re.I)
+DECLARED = re.compile(r"<html\b[^<>]*?\blang\s*=\s*(?:[\"']\s*)?([A-Za-z]{2,3})\b", re.I)
 #: Second-level labels under which names are given out, so that the domain has one label more.
 SHARED_LABELS = ("ac", "co", "com", "edu", "gov", "net", "org")
 
@@ -57,8 +60,20 @@ for _i in range(128):
 
 
 def visible(page: str) -> str:
-    """The text of a page: without scripts, styles, navigation, comments and tags."""
-    return html.unescape(TAG.sub(" ", SILENT.sub(" ", page)))
+    """The text of a page: without scripts, styles, navigation, comments and tags. What is never closed stays, and
+    is looked for once per kind."""
+    kept, at, unclosed = [], 0, set()
+    found = SILENT.search(page)
+    while found:
+        kind, go_on = found[1].lower(), found.end()
+        if kind not in unclosed:
+            if end := CLOSE[kind].search(page, found.end()):
+                kept += [page[at : found.start()], " "]
+                at = go_on = end.end()
+            else:
+                unclosed.add(kind)
+        found = SILENT.search(page, go_on)
+    return html.unescape(TAG.sub(" ", "".join([*kept, page[at:]])))
 
 
 def address(url: str | None) -> tuple[str | None, str | None, str | None]:

@@ -142,7 +142,7 @@ def iban_at(text: str, at: int) -> SPAN | None:
 def find(text: str) -> list[tuple[int, str, int]]:
     """(start, kind, end) of every span, by start and then by kind in the order of KINDS."""
     found: dict[str, list[SPAN]] = {k: [] for k in KINDS}
-    run_end = chain_end = email_end = phone_end = 0
+    run_end = chain_end = email_end = phone_end = url_run = url_end = 0
     for last, (kind, length) in automaton().iter(text.translate(LOWER)):
         first = last - length + 1
         if kind == "digit":
@@ -169,11 +169,13 @@ def find(text: str) -> list[tuple[int, str, int]]:
                 if span:
                     found["phone"].append(span)
         elif kind == "scheme":
-            end = URL_REST.match(text, last + 1).end()
-            while end > last + 1 and text[end - 1] in ".,;:!?)":
-                end -= 1
-            rest = text[last + 1 : end]
-            if LABEL.match(rest) and "@" in rest.split("/", 1)[0]:
+            if first >= url_run:  # all schemes of a run end with it
+                url_run = url_end = URL_REST.match(text, last + 1).end()
+                while url_end > last + 1 and text[url_end - 1] in ".,;:!?)":
+                    url_end -= 1
+            end = max(url_end, last + 1)
+            slash = text.find("/", last + 1, end)
+            if LABEL.match(text, last + 1, end) and text.find("@", last + 1, end if slash < 0 else slash) >= 0:
                 found["url"].append((first, end))
         else:
             if first and (text[first - 1].isalnum() or text[first - 1] == "_"):
