@@ -656,6 +656,7 @@ BODIES |= {
 CTES |= upkeep.lowess_ctes()
 CTES |= upkeep.closed_ctes(CTES["event_trips"], hour_mart) | upkeep.LOADS_CTES | upkeep.station_rows(OWNED, name_key)
 BODIES |= {
+    "near_collinear_slopes": f"SELECT name, {r('slope', 3)} AS slope FROM ({upkeep.NEAR_COLLINEAR})",
     "lowess_observations": upkeep.lowess_sql(r),
     "hourly_trips_closed": upkeep.CLOSED,
     "daily_trips_three_loads": upkeep.LOADS,

@@ -19,7 +19,7 @@ from velomet.functions.text import name_key, present_weather_flag
 from velomet.functions.units import steady_round
 from velomet.operators import climatology, profiles, quality, series, spatial, trip_marts, weather_daily, weather_hourly
 from velomet.operators.lowess import lowess, lowess_at_observations, lowess_at_rows
-from velomet.operators.regression import Design, cluster_sums, collect_moments, hac_sums, moment_sums, solve
+from velomet.operators.regression import Design, cluster_sums, collect_moments, hac_sums, moment_sums, solve, stable_fit
 from velomet.plans import daily_impacts, hourly_rain, standins, weather_adjusted
 from velomet.session import checkpoint_dir
 from velomet.sources import manifest
@@ -674,6 +674,15 @@ def within_slope(spark, sf):
     return rounded(spark.createDataFrame(rows, "n bigint, slope double"), ["slope"])
 
 
+@query
+def near_collinear_slopes(spark, sf):
+    """Log trips on wind and on wind with a ten-thousandth of the humidity, two regressors far from zero and all but the same."""
+    frame = _model_days(spark, sf).withColumn("x", F.col("x") + 1000.0).withColumn("z", F.col("x") + F.col("z") / 10000.0)
+    fit = stable_fit(frame, Design("y", ("x", "z")))
+    rows = [(name, float(b)) for name, b in zip(fit.names, fit.beta)]
+    return rounded(spark.createDataFrame(rows, "name string, slope double"), ["slope"], 3)
+
+
 @query
 def hac_variance(spark, sf):
     frame = _model_days(spark, sf)
