@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from velomet.llm.work import discard, keep
 
+#: Edges of a batch.
+ROWS = 50_000
 
-def forest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the edges (a, b) of one task, those that connect something not connected before."""
+
+def stars(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges (a, b) of one task as stars: each node they connect, with the smallest node it reaches by them."""
     parent: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -24,13 +27,14 @@ def forest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return root
 
     for batch in batches:
-        kept = []
-        for k, (a, b) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)):
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
             a, b = find(a), find(b)
             if a != b:
-                parent[a] = b
-                kept.append(k)
-        yield batch.take(pa.array(kept, pa.int64()))
+                parent[max(a, b)] = min(a, b)
+    nodes = list(parent)
+    for at in range(0, len(nodes), ROWS):
+        part = nodes[at : at + ROWS]
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(map(find, part), pa.int64())], ["a", "b"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -41,13 +45,15 @@ def components(edges: DataFrame) -> DataFrame:
     round is written to the shared folder and replaces the one before. Loops and null ends are ignored;
     an edge may be given in any direction and any number of times. Empty edges give an empty table.
     """
-    # Dealt by the greater end, a node's links to many small ones meet in one task, which keeps only those
-    # that connect: a tight group is left with few edges, however many were found.
+    # Dealt by the greater end, a node's links to many small ones meet in one task, which hangs all it connects on the
+    # smallest. In a tight group that is the same node in most tasks, so of links between small ones, which most tasks
+    # hold, one is left: a group keeps few more edges than it has nodes, however many were found.
     now = keep(
         edges.where("a <> b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .repartition("a")
-        .mapInArrow(forest, "a long, b long")
+        .mapInArrow(stars, "a long, b long")
+        .distinct()
     )
     seen = None
     while True:
