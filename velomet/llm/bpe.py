@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 #: White space as the file's \s has it (the Unicode property).
 SPACE = "\t-\r \x85\xa0  -     　"
 #: Pieces remembered by a Python worker, in each of two generations; forgetting them costs time only.
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 #: Longest piece, in bytes, that is merged by scans.
 SHORT = 256
 NEVER = 1 << 60
