@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velomet.llm.components import components
-from velomet.llm.work import discard, keep
+from velomet.llm.work import discard, keep, release
 
 SEED = 42
 #: Shingles hashed at a time; bounds memory for very long texts.
@@ -39,7 +39,7 @@ SHORT = 24
 #: Rows of one key above which it is cut into finer blocks.
 CROWDED = 20_000
 #: Keys searched at a time; bounds the rows that are dealt at once.
-KEYS = 64
+KEYS = 32
 
 
 def shingle_hashes(text: bytes, size: int) -> Iterator[np.ndarray]:
@@ -295,7 +295,10 @@ def near_duplicates(
     if len(masks) <= KEYS:
         roots = components(close_pairs(shown, words, radius, masks))
     else:
-        parts = [keep(close_pairs(shown, words, radius, masks[at : at + KEYS])) for at in range(0, len(masks), KEYS)]
+        parts = []
+        for at in range(0, len(masks), KEYS):
+            parts.append(keep(close_pairs(shown, words, radius, masks[at : at + KEYS])))
+            release(docs.sparkSession)
         roots = components(reduce(DataFrame.union, parts))
         for part in parts:
             discard(part)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,3 +39,10 @@ def discard(df: DataFrame) -> None:
         if path.startswith(("file:", "/")) or "://" in path:
             place = jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps now. It does so when the driver finds their frames
+    unused, which between large steps may be long after."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
