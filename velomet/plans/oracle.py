@@ -650,7 +650,7 @@ BODIES |= {
     "lowess_grid": fits.lowess_sql(r),
     "lowess_fit": fits.lowess_fit_sql(r),
     "fit_impacts_meta": fits.impacts_meta_sql(r),
-    "rain_totals": fits.totals_sql(r),
+    "rain_totals": fits.totals_sql(lambda e, d: f"CASE WHEN abs({e}) >= 1e6 THEN {r(e, 0)} ELSE {r(e, d)} END"),
     "empty_years": "SELECT m AS model, (SELECT count(*) FROM joined WHERE year(date) IN (1850, 1851)) AS n FROM (VALUES ('adjusted'), ('impacts'), ('profile'), ('dayparts')) t(m)",
 }
 CTES |= upkeep.lowess_ctes()

@@ -750,7 +750,10 @@ def rain_totals(spark, sf):
     parts = hourly_rain.rain_by_daypart(hourly, "num_member_trips_nyc")[1]
     rows = [("hours 0 to 4", *[profile[f"cum_{c}"] for c in ("pct", "lo", "hi")], profile["n"], profile["n_days"])]
     rows.append(("heavy rain, members", *[parts["heavy_extra"][c] for c in ("pct", "lo", "hi")], parts["n"], parts["n_days"]))
-    return _effects(spark.createDataFrame(rows, "effect string, pct double, lo double, hi double, n bigint, n_days bigint"))
+    df = spark.createDataFrame(rows, "effect string, pct double, lo double, hi double, n bigint, n_days bigint")
+    # A few hours of data can give effects of millions of percent, of which sums of doubles do not settle four decimals.
+    ends = {c: F.when(F.abs(c) >= 1e6, steady_round(F.col(c), 0)).otherwise(steady_round(F.col(c), 4)) for c in ("pct", "lo", "hi")}
+    return df.withColumns(ends)
 
 
 @query
