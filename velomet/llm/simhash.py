@@ -18,7 +18,7 @@ row to the smallest one it is connected to under the key, never all pairs.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 from itertools import combinations
 
@@ -198,10 +198,17 @@ def links_of_runs(
     return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
 
-def close_pairs(nodes: DataFrame, words: int, radius: int, masks: list[tuple[int, ...]]) -> DataFrame:
+def close_pairs(
+    nodes: DataFrame,
+    words: int,
+    radius: int,
+    masks: list[tuple[int, ...]],
+    links: Callable[..., pa.RecordBatch] = links_of_runs,
+    result: str = "a long, b long",
+) -> DataFrame:
     """Links (a, b), some more than once, that connect all nodes within the radius that share a key.
 
-    nodes has one row per different fingerprint: node, f0, f1, ...
+    nodes has one row per different fingerprint: node, f0, f1, ...; links makes them from whole runs of keys.
     """
     names = [f"f{k}" for k in range(words)]
     schema = "key long, node long, " + ", ".join(f"{n} long" for n in names)
@@ -236,7 +243,7 @@ def close_pairs(nodes: DataFrame, words: int, radius: int, masks: list[tuple[int
 
         def out(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
             whole = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
-            return links_of_runs(
+            return links(
                 unsigned(whole, "key"),
                 whole.column("node").to_numpy(),
                 [unsigned(whole, n) for n in names],
@@ -266,7 +273,7 @@ def close_pairs(nodes: DataFrame, words: int, radius: int, masks: list[tuple[int
     else:
         entries = entries.drop("t")
     dealt = entries.repartition("key").sortWithinPartitions("key", "node")
-    return dealt.mapInArrow(scan, "a long, b long")
+    return dealt.mapInArrow(scan, result)
 
 
 def near_duplicates(
