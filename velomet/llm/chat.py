@@ -4,8 +4,9 @@ A dialogue of several parties gives one training text per participant: that part
 assistant's, everyone else's are a user's who goes by name, and system messages stay what they are. What the
 assistant says, with its closing tag, is what a model would be trained on; spans say where it stands.
 
-Everything is DataFrame operations. A rendering is cut into parts by turn number, PART turns to a part, so that a
-dialogue of any length is gathered in groups of bounded size; the parts in order are the whole.
+Everything is DataFrame operations. A rendering is cut into parts by turn number, PART turns to a part; the parts in
+order are the whole. A part is as large as the messages of its turns: messages that share one turn, or have none, are
+not cut further.
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ def rotate(messages: DataFrame, part_turns: int = PART) -> DataFrame:
     Order: by turn, null turns first; equal turns by role and then text. Equal rows are one message. A null
     text is an empty message. A message without a role is a user's named "?" and no participant's. Rows whose
     conv_id is null are the dialogue without an id. A dialogue of system messages alone has no participants
-    and no rows. Tags inside a text lose their meaning by a backslash after "<". No rows: no result.
+    and no rows. Tags inside a text or a name lose their meaning by a backslash after "<", and line breaks in a
+    name are written as spaces, so neither can open a turn of its own. No rows: no result.
     """
     said = messages.select(
         "conv_id", F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"),
@@ -42,10 +44,11 @@ def rotate(messages: DataFrame, part_turns: int = PART) -> DataFrame:
     seen = said.join(people, F.col("conv_id").eqNullSafe(F.col("c")))
     own = F.coalesce(F.col("role") == F.col("perspective"), F.lit(False))
     system = F.coalesce(F.lower("role").isin(*SYSTEM), F.lit(False))
+    name = F.replace(F.translate(F.coalesce("role", F.lit("?")), "\n\r", "  "), F.lit("<|im_"), F.lit("<\\|im_"))
     speaker = (
         F.when(own, F.lit("assistant"))
         .when(system, F.lit("system"))
-        .otherwise(F.concat(F.lit("user name="), F.coalesce("role", F.lit("?"))))
+        .otherwise(F.concat(F.lit("user name="), name))
     )
     part = F.coalesce(F.floor(F.col("turn") / part_turns), F.lit(-1)).cast("long")
     pieces = seen.select(
@@ -86,7 +89,7 @@ WITH said AS (
   SELECT conv_id, perspective, CAST(coalesce(floor(turn / 256.0), -1) AS BIGINT) AS part, turn, role, said,
          role IS NOT DISTINCT FROM perspective AS own,
          '<|im_start|>' || CASE WHEN role = perspective THEN 'assistant' WHEN lower(role) = 'system' THEN 'system'
-           ELSE 'user name=' || coalesce(role, '?') END || chr(10) AS head,
+           ELSE 'user name=' || replace(translate(coalesce(role, '?'), chr(10) || chr(13), '  '), '<|im_', '<\|im_') END || chr(10) AS head,
          said || '<|im_end|>' AS body
   FROM said JOIN people ON conv_id IS NOT DISTINCT FROM c
 ), placed AS (

@@ -16,9 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: spark.checkpoint.dir, and where a session names none
-    (as in a test), a folder in the warehouse, which executors share as well."""
+    """The shared folder for intermediate tables: spark.checkpoint.dir, and where a session on one machine names none
+    (as in a test), a folder in the warehouse. A cluster has to name one: its executors may not share the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{named or spark.conf.get('spark.sql.warehouse.dir').rstrip('/') + '/_work'}/llm"
 
 
