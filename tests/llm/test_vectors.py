@@ -28,27 +28,31 @@ def usable(v, width):
     return v is not None and len(v) == width and all(x is not None and math.isfinite(x) for x in v)
 
 
-def best(rows, k, width, every=20):
-    kept = [(i, [math.floor(64 * x) for x in v]) for i, v, _ in rows if i is not None and usable(v, width)]
+def best(rows, k, every=20):
+    kept = [(i, [math.floor(64 * x) for x in v]) for i, v, _ in rows if i is not None and v is not None and usable(v, len(v))]
     out = []
-    for q, vec in {i: v for i, v in kept if i % every == 0}.items():
-        scored = sorted((-sum(a * b for a, b in zip(vec, w)), i) for i, w in kept if i != q)[:k]
-        out += [(q, r, i, -s) for r, (s, i) in enumerate(scored, 1)]
+    for at, (q, vec) in enumerate(kept):
+        if q % every == 0:
+            others = (w for n, w in enumerate(kept) if n != at and len(w[1]) == len(vec))
+            scored = sorted((-sum(a * b for a, b in zip(vec, w)), i) for i, w in others)[:k]
+            out += [(q, r, i, -s) for r, (s, i) in enumerate(scored, 1)]
     return sorted(out)
 
 
 @pytest.mark.parametrize("block,group", [(10_000, 1_000), (16, 3), (1, 1)])
 def test_top_k(spark, block, group):
     rows = awkward_rows(60 if block == 1 else 120)
+    # Ids given twice, once with another vector; queries of other lengths; empty ones.
+    rows += [rows[20], (40, rows[3][1], 0), (340, [1.0, 2.0], 1), (341, [3.0, -4.0], 1), (360, [], 1), (380, [5.0], 1)]
     got = topk.report(table(spark, rows), 20, 20, block, group)
-    assert sorted(map(tuple, got.collect())) == best(rows, 20, 6)
+    assert sorted(map(tuple, got.collect())) == best(rows, 20)
     assert [f.dataType.simpleString() for f in got.schema] == ["bigint", "int", "bigint", "bigint"]
 
 
 def test_top_k_small_tables(spark):
     assert topk.report(table(spark, [])).collect() == []
     rows = [(0, [1.0, 2.0], 0), (1, [3.0, -1.0], 0), (7, [0.0, 0.0], None)]
-    assert sorted(map(tuple, topk.report(table(spark, rows)).collect())) == best(rows, 20, 2)
+    assert sorted(map(tuple, topk.report(table(spark, rows)).collect())) == best(rows, 20)
     assert topk.report(table(spark, [(0, [1.0], 0)])).collect() == []
 
 
@@ -59,7 +63,7 @@ def test_search_stops_early():
     block[:25] += 200
     ids = np.arange(4_000)
     q = np.abs(draw.integers(1, 5, (3, 8))).astype(float)
-    a, b, s = topk.search_block(ids, block, np.array([-1, -2, -3]), q, np.full(3, -np.inf), 20)
+    a, b, s = topk.search_block(ids, ids, block, np.array([-1, -2, -3]), q, np.full(3, -np.inf), 20)
     for k in range(3):
         want = sorted((-x, i) for i, x in enumerate(block @ q[k]))[:20]
         assert sorted((-x, i) for x, i in zip(s[a == -1 - k], b[a == -1 - k])) == want
