@@ -161,3 +161,19 @@ def test_real_vectors(spark, sf_dir):
     rows += [(10_000 + i, [x + 0.01 for x in v], l) for i, v, l in rows[:60]]
     got = sorted(map(tuple, forest.near_duplicates(table(spark, rows)).collect()), key=str)
     assert got == links(rows)
+
+
+def test_labels_beyond_a_leaf_grow_trees(spark):
+    """One label of 1,500 spread rows and one of 100: the first ends in many cells, the second in one that is not listed."""
+    x = np.random.default_rng(3).standard_normal((1_600, 64))
+    x[1_490:1_500] = x[:10] + 0.02
+    rows = [(i, v, int(i >= 1_500)) for i, v in enumerate(x.tolist())]
+    (grown,) = forest.remainder(table(spark, rows)).collect()
+    assert grown["label"] == 0 and grown["nodes"] == 1_500 and grown["cells"] > forest.TREES
+    assert grown["whole"] < 150 and grown["largest"] < 700
+    assert sorted(map(tuple, forest.near_duplicates(table(spark, rows)).collect()), key=str) == links(rows)
+
+
+def test_remainder_counts_a_crowd(spark):
+    (crowd,) = forest.remainder(table(spark, clusters(1, 260, noise=0.01)), trees=2, leaf=40).collect()
+    assert (crowd["nodes"], crowd["whole"], crowd["largest"], crowd["cells"]) == (260, 260, 260, 1)

@@ -12,7 +12,9 @@ size instead, so nothing is lost and no task grows.
 
 How deep a tree goes is bounded by what it keeps, not by the rows: every cell knows the share of pairs at the
 cosine asked for that all splits above it keep together, and a split that takes it below what so many trees
-make up for is not made. A label where trees would compare as much as all pairs is compared whole, once.
+make up for is not made. Every label of more rows than a leaf holds grows its trees. Only where splits would have
+to stop for that reason before cells are small, and would have compared more than all pairs by then, is the label one cell,
+as a cell is that no split shrinks; remainder() counts the rows of such cells.
 
 No pair is emitted. A leaf gives the number of links of each vector, counting a pair only in the first of the
 cells that both share, and a spanning set of its links.
@@ -73,16 +75,17 @@ def floor_of(trees: int) -> float:
     return 1 - PARTED ** (1 / trees)
 
 
-def pays(p: np.ndarray, n: int, trees: int, leaf: int, least: float) -> bool:
-    """Whether trees over n rows, p being the projections of some, compare fewer pairs than there are. A level
-    leaves two cells with a share of the rows each; levels go on down to the leaf or to the floor."""
+def splits_reach(p: np.ndarray, n: int, trees: int, leaf: int, least: float) -> bool:
+    """Whether trees over n rows, p being the projections of some, come down to leaves before their splits part
+    more close pairs than so many trees make up for; or, stopped by that, still compare fewer pairs than there are.
+    A level leaves two cells with a share of the rows each."""
     middle = np.median(p, axis=0)
     share = float(np.mean(p <= middle + SPILL))
-    kept = float(np.mean([together(p[:, k], float(middle[k]), least) for k in range(DIRECTIONS)]))
     if share > 0.8:
         return False
-    levels = min(math.log(leaf / n) / math.log(share), math.log(floor_of(trees)) / min(math.log(kept), -1e-12))
-    return trees * (2 * share * share) ** levels < 1
+    kept = float(np.mean([together(p[:, k], float(middle[k]), least) for k in range(DIRECTIONS)]))
+    to_leaf, allowed = math.log(leaf / n) / math.log(share), math.log(floor_of(trees)) / min(math.log(kept), -1e-12)
+    return to_leaf <= allowed or trees * (2 * share * share) ** allowed < 1
 
 
 def cut(p: np.ndarray, level: int, depth: int, stays: float, floor: float, least: float) -> tuple[list[float], list[float], list[float]]:
@@ -207,7 +210,7 @@ def _cells(nodes: DataFrame, trees: int, leaf: int, least: float) -> DataFrame:
 
     def judge(rows: pd.DataFrame) -> pd.DataFrame:
         x = units(rows.sort_values("node")["v"])
-        grown = pays(x @ directions(0, x.shape[1]), int(rows["n"].iloc[0]), trees, leaf, least)
+        grown = splits_reach(x @ directions(0, x.shape[1]), int(rows["n"].iloc[0]), trees, leaf, least)
         return pd.DataFrame({"team": [rows["team"].iloc[0]], "grown": [grown]})
 
     teams = nodes.groupBy("team").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > leaf)
@@ -215,7 +218,7 @@ def _cells(nodes: DataFrame, trees: int, leaf: int, least: float) -> DataFrame:
         F.pmod(F.xxhash64("node", "team"), F.lit(1 << 30)) < F.lit(float(SAMPLE) * (1 << 30)) / F.col("n")
     )
     grown = keep(asked.groupBy("team").applyInPandas(judge, "team long, grown boolean").where("grown"))
-    # Labels that trees do not pay for are one cell.
+    # Labels up to the size of a leaf, and those whose splits do not come down to one, are one cell.
     done = keep(nodes.join(grown, "team", "left_anti").select(number("team", F.lit(-1)).alias("cell"), "node"))
     if grown.isEmpty():
         return done
@@ -284,14 +287,8 @@ def _cells(nodes: DataFrame, trees: int, leaf: int, least: float) -> DataFrame:
         open_ = keep(moved)
 
 
-def near_duplicates(embeddings: DataFrame, least: float = 0.93, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
-    """vec_id, n_links, component_id, kept for every row of embeddings, whatever other columns it has.
-
-    Rows are compared when their labels are equal and not null and their vectors equally long. Vectors that
-    are null, empty, zero or hold null or non-finite components link with nothing. Equal vectors of a label
-    link and are one node of the search; rows with equal ids count as rows of their own. Rows without an
-    id link with nothing, and are kept, with a null component. An empty table gives an empty result.
-    """
+def _nodes(embeddings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All rows, keyed by label and vector where they can link, and one node per key."""
     rows = embeddings.select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").alias("v")
     )
@@ -308,6 +305,35 @@ def near_duplicates(embeddings: DataFrame, least: float = 0.93, trees: int = TRE
         # A tree begins with the vectors of one label and length.
         .withColumn("team", F.xxhash64("label", F.size("v")))
     )
+    return keyed, nodes
+
+
+def remainder(embeddings: DataFrame, least: float = 0.93, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
+    """(label, nodes, cells, whole, largest) of every label of more distinct vectors than a leaf holds: in how many cells its
+    trees ended, how many of its vectors are in a cell of more rows than a leaf, which no split shrank, and the
+    rows of its largest cell."""
+    _, nodes = _nodes(embeddings)
+    large = nodes.groupBy("team").agg(F.count(F.lit(1)).alias("nodes")).where(F.col("nodes") > leaf)
+    cells = keep(_cells(nodes, trees, leaf, least).distinct())
+    sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    per_node = cells.join(sizes, "cell").groupBy("node").agg(F.max("n").alias("n"))
+    of_team = cells.join(nodes.select("node", "team"), "node").select("team", "cell").distinct().groupBy("team").agg(F.count(F.lit(1)).alias("cells"))
+    return (
+        nodes.join(per_node, "node").join(large, "team").join(of_team, "team")
+        .groupBy("team", "label", "nodes", "cells")
+        .agg(F.count_if(F.col("n") > leaf).alias("whole"), F.max("n").alias("largest")).drop("team")
+    )
+
+
+def near_duplicates(embeddings: DataFrame, least: float = 0.93, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
+    """vec_id, n_links, component_id, kept for every row of embeddings, whatever other columns it has.
+
+    Rows are compared when their labels are equal and not null and their vectors equally long. Vectors that
+    are null, empty, zero or hold null or non-finite components link with nothing. Equal vectors of a label
+    link and are one node of the search; rows with equal ids count as rows of their own. Rows without an
+    id link with nothing, and are kept, with a null component. An empty table gives an empty result.
+    """
+    keyed, nodes = _nodes(embeddings)
     cells = keep(_cells(nodes, trees, leaf, least).distinct())
     sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     lists = cells.groupBy("node").agg(F.sort_array(F.collect_list("cell")).alias("cells"))
