@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from velomet.llm.components import components
 from velomet.llm.topk import finite
-from velomet.llm.work import keep
+from velomet.llm.work import discard, keep
 
 TREES, LEAF, TILE = 10, 400, 1_500
 #: Rows of a cell that its thresholds are taken from, at most; and levels cut in a round.
@@ -283,8 +283,12 @@ def _cells(nodes: DataFrame, trees: int, leaf: int, least: float) -> DataFrame:
             .mapInArrow(move, "cell long, place long, node long, level int, stays double, p array<float>")
             .select(number("cell", "place").alias("cell"), "node", "level", "stays", "p")
         )
+        read = (done, open_, large, splits)
         done = keep(done.union(leaves))
         open_ = keep(moved)
+        # The next round starts from the two tables just written.
+        for table in read:
+            discard(table)
 
 
 def _nodes(embeddings: DataFrame) -> tuple[DataFrame, DataFrame]:
