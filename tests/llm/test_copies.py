@@ -98,3 +98,39 @@ def test_direct_links_are_close():
         d = simhash.distance([p[got["a"] // 7] for p in prints], [p[got["b"] // 7] for p in prints])
         assert (d == got["d"]).all() and (d <= 25).all()
         assert len(set(got["a"]) | set(got["b"])) == linked and len(got) < 100
+
+
+def test_short_texts_whose_fingerprints_lie_apart(spark):
+    """Of texts of few shingles, pairs of the asked similarity have fingerprints beyond the radius; none stays apart."""
+    rng = random.Random(5)
+    made = []
+    for group in range(120):
+        words = [f"s{group}_{rng.random()}" for _ in range(rng.randrange(10, 16))]
+        made += [" ".join(words), " ".join([*words, f"t{group}"])]
+    texts = dict(enumerate(made))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in copies.near_copies(docs, 5, 25, 2, 0.01, 0.8).collect()}
+    assert got == plain_groups(texts, 0.8)
+
+
+def test_crowd_around_the_similarity(spark, monkeypatch):
+    """A crowd at 0.6 to 0.9, few links of which are those of a centre, in rounds of one pair of a shingle and two groups."""
+    monkeypatch.setattr(copies, "PAIRS", 1)
+    rng = random.Random(8)
+    crowd = [f"c{rng.randrange(400)}" for _ in range(120)]
+    texts = {i: " ".join(edited(crowd, rng.choice([0.1, 0.14, 0.2]), rng)) for i in range(70)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in copies.near_copies(docs, 5, 25, 2, 0.01, 0.8).collect()}
+    assert got == plain_groups(texts, 0.8)
+
+
+def test_rare_shingles_meet_for_all_pairs_of_the_similarity():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        a = np.unique(rng.integers(0, 2**63, int(rng.integers(1, 60)), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.93], rng.integers(0, 2**63, int(rng.integers(0, 4)), dtype=np.uint64)]))
+        counts = rng.integers(0, 3, 1 << copies.SLOT_BITS)
+        if len(b) and copies.similarity(a, b) >= 0.8:
+            assert len(np.intersect1d(copies.prefix(a, counts, 0.8), copies.prefix(b, counts, 0.8)))
+            apart = np.abs(copies.histogram(a).astype(int) - copies.histogram(b)).sum()
+            assert apart <= len(np.setxor1d(a, b)) <= (len(a) + len(b)) / 9 + 1e-6
