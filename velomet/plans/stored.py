@@ -44,17 +44,21 @@ def trip_files_typed(spark, sf):
 
 @query
 def observation_years(spark, sf):
-    """Raw observation files of one year each, loaded in two runs with a file that is no observation file."""
+    """Raw observation files of one year each, loaded in two runs with a file that is no observation file.
+
+    A long year has several files, whose names follow the order of their lines.
+    """
     folder = new_folder(spark, "observations")
     raw = standins.raw_observations(spark, sf).withColumn("y", F.substring("DATE", 1, 4))
-    ordered = raw.drop("source_file").repartition("y").sortWithinPartitions("y", "line_no")
+    ordered = raw.drop("source_file").repartitionByRange("y", "line_no").sortWithinPartitions("y", "line_no")
     _as_csv(ordered).partitionBy("y").csv(f"{folder}/raw")
     spark.createDataFrame([("x", "y")], "a string, b string").coalesce(1).write.option("header", "true").csv(f"{folder}/raw/y=none")
     paths = sorted(r["path"] for r in manifest.list_files(spark, f"{folder}/raw", ".csv").select("path").collect())
     errors: dict[str, str] = {}
-    half = len(paths) // 2
-    for some in (paths[:half], paths[half:], paths[half:]):  # the second run is made twice
-        lines = weather_files.read_observation_csv(spark, some, errors)
+    years = sorted({path.rsplit("/", 1)[0] for path in paths})  # a year has to come whole
+    half = len(years) // 2
+    for some in (years[:half], years[half:], years[half:]):  # the second run is made twice
+        lines = weather_files.read_observation_csv(spark, [p for p in paths if p.rsplit("/", 1)[0] in some], errors)
         weather_files.write_hourly_observations(weather_files.hourly_observations(lines, HOME_STATION), f"{folder}/typed")
     return weather_files.read_hourly_observations(spark, f"{folder}/typed").drop("year", "source_file")
 
@@ -64,7 +68,7 @@ def daily_observation_folders(spark, sf):
     """Daily observations in folders by year, read with an open end and with a bound on either side."""
     folder = new_folder(spark, "daily")
     long = standins.long_observations(spark, sf)
-    long.withColumn("year", F.year("date")).repartition("year").write.partitionBy("year").parquet(folder)
+    long.withColumn("year", F.year("date")).repartitionByRange("year", "id", "date").write.partitionBy("year").parquet(folder)
     reads = {"all": (None, None), "from 1995": (1995, None), "to 1994": (None, 1994)}
     parts = [
         weather_files.read_daily_observations(spark, folder, *years).select(F.lit(name).alias("span"), "element", "value")
