@@ -73,6 +73,36 @@ def test_probabilities_sum_to_one(spark, monkeypatch, extra):
         assert sum(p(context, w) for w in [*words, "\n", None]) == pytest.approx(1)
 
 
+@pytest.mark.parametrize("extra", [{}, {"BUCKET": 8_000, "RUN": 5_000}])
+def test_infrequent_contexts_have_restaurants(spark, sf_dir, monkeypatch, extra):
+    """With no context frequent enough for the table of contexts the model is the same but for the draws."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    whole = check(docs)
+    for k, v in ({"CONTEXT_SHARE": 2.0} | extra).items():
+        monkeypatch.setattr(hpylm, k, v)
+    apart = check(docs)
+    for held in (True, False):
+        of = lambda rows: sum(r["score"] for r in rows if r["held_out"] == held) / sum(r["n_tokens"] for r in rows if r["held_out"] == held)
+        assert of(apart) == pytest.approx(of(whole), rel=0.005)
+
+
+def test_texts_sum_to_one_without_frequent_contexts(spark, monkeypatch):
+    """All texts of known words and one unknown word have probability one in all. With S of a text, the step from w to x
+    weighs S(w x) / S(x), every start 1 and an end after w S(w), which leaves every text's product as it is."""
+    monkeypatch.setattr(hpylm, "CONTEXT_SHARE", 2.0)
+    held = [i for i in range(4_000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    draw = np.random.default_rng(0)
+    words = [*"abcdefgh", "unknown"]
+    texts = ["", *words, *(f"{w} {x}" for w in words for x in words)]
+    rows = [(i, " ".join(draw.choice(words[:-1], size=9))) for i in range(400) if i not in held]
+    rows += list(zip(held, texts))
+    got = {r["doc_id"]: 10 ** r["score"] for r in hpylm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    of = {text: got[i] for i, text in zip(held, texts)}
+    end = np.array([of[w] for w in words])
+    step = np.array([[of[f"{w} {x}"] / of[x] for x in words] for w in words])
+    assert of[""] + np.linalg.solve(np.eye(len(words)) - step, end).sum() == pytest.approx(1)
+
+
 def predictive(spark, rows):
     """The model's probability of a word after a context, by its rule from the seatings that the steps draw."""
     docs = spark.createDataFrame(rows, "doc_id long, text string")
