@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velomet.llm.work import discard, keep
+from velomet.llm.work import discard, keep, release
 
 #: Least share of the training tokens of a context whose totals all tasks have, and of a word spread over buckets.
 CONTEXT_SHARE, COMMON_SHARE = 2.0**-18, 2.0**-10
@@ -48,7 +48,7 @@ SWEEPS, SAMPLES = 3, 2
 #: Most customers of a dish that are reseated one by one; larger parties are seated anew in order.
 ONE_BY_ONE = 24
 #: Tokens per bucket and per binary value, at most about.
-BUCKET, RUN = 2_000_000, 2_000_000
+BUCKET, RUN = 2_000_000, 1_500_000
 #: Buckets whose contexts answer together; messages are buckets x homes.
 PER_HOME = 4
 SEED = 77
@@ -67,32 +67,38 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def pack(*columns: np.ndarray) -> bytes:
-    """Columns of one length as compressed bytes; the first is sorted and kept as differences."""
-    first = np.diff(columns[0].astype(np.int64), prepend=0)
-    parts = [first.view(np.uint8).reshape(-1, 8).T.tobytes()]
-    parts += [c.astype(np.int32).view(np.uint8).reshape(-1, 4).T.tobytes() for c in columns[1:]]
+def pack_wide(*columns: np.ndarray) -> bytes:
+    """Columns of one length and any 64-bit values as compressed bytes, byte by byte; bytes that a whole column has no use for are left out."""
+    parts = [len(columns[0]).to_bytes(8, "little")]
+    for column in columns:
+        values = np.ascontiguousarray(column, np.int64)
+        used = max(1, (int(values.view(np.uint64).max(initial=0)).bit_length() + 7) // 8)
+        each = values.view(np.uint8).reshape(-1, 8)
+        parts += [bytes([used]), *(each[:, k].tobytes() for k in range(used))]
     return zstandard.compress(b"".join(parts), 1)
 
 
-def unpack(data: bytes, columns: int) -> list[np.ndarray]:
+def unpack_wide(data: bytes, columns: int) -> list[np.ndarray]:
     raw = np.frombuffer(zstandard.decompress(data), np.uint8)
-    n = len(raw) // (8 + 4 * (columns - 1))
-    out = [np.cumsum(np.ascontiguousarray(raw[: 8 * n].reshape(8, n).T).view(np.int64).ravel())]
-    for k in range(columns - 1):
-        at = 8 * n + 4 * n * k
-        out.append(np.ascontiguousarray(raw[at : at + 4 * n].reshape(4, n).T).view(np.int32).ravel())
+    n, out, at = int.from_bytes(raw[:8].tobytes(), "little"), [], 8
+    for _ in range(columns):
+        used, at = int(raw[at]), at + 1
+        each = np.zeros((n, 8), np.uint8)
+        for k in range(used):
+            each[:, k] = raw[at : at + n]
+            at += n
+        out.append(each.view(np.int64).ravel())
     return out
 
 
-def pack_wide(*columns: np.ndarray) -> bytes:
-    """Columns of one length and any 64-bit values as compressed bytes."""
-    return zstandard.compress(b"".join(c.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns), 1)
+def pack(*columns: np.ndarray) -> bytes:
+    """Columns of one length as compressed bytes; the first is sorted and kept as differences."""
+    return pack_wide(np.diff(columns[0].astype(np.int64), prepend=0), *columns[1:])
 
 
-def unpack_wide(data: bytes, columns: int) -> list[np.ndarray]:
-    raw = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(columns, 8, -1)
-    return [np.ascontiguousarray(c.T).view(np.int64).ravel() for c in raw]
+def unpack(data: bytes, columns: int) -> list[np.ndarray]:
+    first, *rest = unpack_wide(data, columns)
+    return [np.cumsum(first), *rest]
 
 
 @dataclass(frozen=True)
@@ -119,15 +125,15 @@ def before(found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     context = np.empty_like(words)
     context[1:] = words[:-1]
     context[np.cumsum(lengths) - lengths] = word_id(START)
-    return words, context, np.repeat(np.arange(len(found)), lengths)
+    return words, context, np.repeat(np.arange(len(found), dtype=np.int32), lengths)
 
 
 def number_of(context: np.ndarray, counts: Counts) -> np.ndarray:
     """Numbers of frequent contexts, 0 for others."""
     if not len(counts.contexts):
-        return np.zeros(len(context), np.int64)
-    at = np.minimum(np.searchsorted(counts.contexts, context), len(counts.contexts) - 1)
-    return np.where(counts.contexts[at] == context, at + 1, 0)
+        return np.zeros(len(context), np.int32)
+    at = np.minimum(np.searchsorted(counts.contexts, context), len(counts.contexts) - 1).astype(np.int32)
+    return np.where(counts.contexts[at] == context, at + np.int32(1), np.int32(0))
 
 
 def pair_id(word: np.ndarray, context: np.ndarray) -> np.ndarray:
@@ -203,6 +209,7 @@ def gathered(texts: DataFrame, counts: Counts) -> DataFrame:
 
         def out(found: list[np.ndarray], held: list[bool]) -> pa.RecordBatch:
             word, context, text = before(found)
+            found.clear()
             trained, number = ~np.array(held)[text], number_of(context, own)
             keys, n = np.unique((word << CONTEXT_BITS | number)[trained & (number > 0)], return_counts=True)
             runs = by_bucket(bucket_of(keys, own), own.buckets)
@@ -548,6 +555,7 @@ def score(docs: DataFrame) -> DataFrame:
     texts = _training(docs)
     counts = count_words(texts)
     made = keep(gathered(texts, counts))
+    release(spark)
     pairs, others = count_pairs(texts, counts, made), made.where("others IS NOT NULL").select("bucket", "others")
     # Discounts from how many pairs and how many words were counted once and twice.
     once = made.select(*(F.col("sizes")[k].alias(x) for k, x in enumerate("abcde"))).agg(*(F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in "abcde")).first()
@@ -563,12 +571,14 @@ def score(docs: DataFrame) -> DataFrame:
     told = replies(others, counts, 3, lambda c: [c[1], c[2], c[2] > 0])
     burnt = keep(seated(pairs, counts, state, discounts, 1, _with(others, told)))
     discard(made)
+    release(spark)
     rows, others = count_pairs(texts, counts, burnt), burnt.where("others IS NOT NULL").select("bucket", "others")
     state = totals(burnt.where("word IS NOT NULL"), counts, 0, 1)
     # Pairs of one customer sit at one table whatever their context; the others ask what it opened beyond.
     told = replies(others, counts, 6, lambda c: [x[c[2] > 1] for x in (c[1], c[5] - 1)])
     last = keep(seated(rows, counts, _sums(state), discounts, SAMPLES, _with(others, told), 6))
     discard(burnt)
+    release(spark)
     final, others = last.where("word IS NOT NULL"), last.where("others IS NOT NULL").select("bucket", "others")
     states = [totals(final, counts, s, SAMPLES) for s in range(SAMPLES)]
     # A context without repeated pairs has a table for each.
@@ -590,7 +600,9 @@ def score(docs: DataFrame) -> DataFrame:
             return [keys[first], text[first], np.diff(np.append(first, len(keys))), order[first]]
 
         def out(found: list[np.ndarray], ids: list, held: list) -> pa.RecordBatch:
+            texts = len(found)
             word, context, text = before(found)
+            found.clear()
             asked = number_of(context, own)
             rare = asked == 0
             *sent, _ = counted((word << CONTEXT_BITS | asked)[~rare], text[~rare])
@@ -605,7 +617,7 @@ def score(docs: DataFrame) -> DataFrame:
                 [
                     pa.array(kept, pa.int32()),
                     pa.array([part << 32 | number] * len(kept), pa.int64()),
-                    pa.array([len(found)] * len(kept), pa.int32()),
+                    pa.array([texts] * len(kept), pa.int32()),
                     pa.array([pack(*(x[dealt[b]] for x in sent)) for b in kept], pa.binary()),
                     pa.array([pack(*(x[others[b]] for x in apart)) for b in kept], pa.binary()),
                     pa.array([ids if home[b] else None for b in kept], pa.list_(pa.int64())),
