@@ -52,6 +52,12 @@ def test_forgetting_changes_nothing(library, monkeypatch):
     assert small.encode(text) == library.encode(text, add_special_tokens=False).ids
 
 
+def test_remembered_ids_hold_no_spare_places():
+    own = bpe.Codec(open(PATH, encoding="utf-8").read())
+    own.encode("some words of several lengths, internationalisation among them")
+    assert own.known and all(type(ids) is tuple for ids in own.known.values())
+
+
 def check(docs, library):
     given = docs.select("doc_id", "text").collect()
 

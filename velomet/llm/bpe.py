@@ -57,8 +57,8 @@ class Codec:
         self.merged = [ids[a + b] for a, b in model["merges"]]
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
         self.names = {i: t for t, i in (ids | self.special).items()}
-        self.known: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))))
         parts = file["pre_tokenizer"]["pretokenizers"]
         self.piece = regex.compile(parts[0]["pattern"]["Regex"].replace("\\s", SPACE))
@@ -103,13 +103,12 @@ class Codec:
                     heapq.heappush(heap, (x, a))
         return [p for p in parts if p >= 0]
 
-    def learn(self, piece: str) -> list[int]:
-        """Ids of a piece that is not among the recent ones."""
-        ids = self.older.get(piece) or self.merge(piece)
+    def learn(self, piece: str) -> tuple[int, ...]:
+        """Ids of a piece that is not among the recent ones. Kept as a tuple: the list that was merged holds a place for every byte."""
+        ids = self.older.get(piece) or self.known.get(piece) or tuple(self.merge(piece))
         if len(piece) <= 64:
             if len(self.known) >= REMEMBERED:
-                self.older = dict(self.known)
-                self.known.clear()
+                self.older, self.known = self.known, {}
             self.known[piece] = ids
         return ids
 
