@@ -48,7 +48,7 @@ SWEEPS, SAMPLES = 3, 2
 #: Most customers of a dish that are reseated one by one; larger parties are seated anew in order.
 ONE_BY_ONE = 24
 #: Tokens per bucket and per binary value, at most about.
-BUCKET, RUN = 2_000_000, 1_500_000
+BUCKET, RUN = 2_000_000, 2_000_000
 #: Buckets whose contexts answer together; messages are buckets x homes.
 PER_HOME = 4
 SEED = 77
@@ -197,7 +197,7 @@ def count_words(texts: DataFrame) -> Counts:
 
 def gathered(texts: DataFrame, counts: Counts) -> DataFrame:
     """Pairs by bucket: rows (bucket, word, contexts, n) as count_pairs gives, and a row per bucket with
-    `others`, its pairs of a word and an infrequent context (pack_wide: word, context, n), and `sizes`.
+    `others`, its pairs of a word and an infrequent context (pack: word, context, n), and `sizes`.
 
     Pairs that only held-out texts have are among the others with n = 0: what their context holds is asked for with
     the rest. sizes: pairs counted once and twice, words of one and of two pairs, training pairs among the others.
@@ -217,13 +217,16 @@ def gathered(texts: DataFrame, counts: Counts) -> DataFrame:
             pair, first, place = np.unique(pair_id(word, context), return_index=True, return_inverse=True)
             m = np.bincount(place, trained, len(pair)).astype(np.int64)
             word, context = word[first], context[first]
+            # Sorted by word, its ids are small differences.
+            order = np.lexsort((context, word))
+            pair, word, context, m = pair[order], word[order], context[order], m[order]
             others = by_bucket(bucket_of(pair, own, word), own.buckets)
             kept = [b for b in range(own.buckets) if len(runs[b]) or len(others[b])]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(kept, pa.int32()),
                     pa.array([pack(keys[runs[b]], n[runs[b]]) for b in kept], pa.binary()),
-                    pa.array([pack_wide(word[others[b]], context[others[b]], m[others[b]]) for b in kept], pa.binary()),
+                    pa.array([pack(word[others[b]], context[others[b]], m[others[b]]) for b in kept], pa.binary()),
                 ],
                 ["bucket", "run", "others"],
             )
@@ -242,10 +245,12 @@ def gathered(texts: DataFrame, counts: Counts) -> DataFrame:
 
     def gather(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        word, context, m = (np.concatenate(x) for x in zip(*(unpack_wide(x.as_py(), 3) for x in table.column("others"))))
+        word, context, m = (np.concatenate(x) for x in zip(*(unpack(x.as_py(), 3) for x in table.column("others"))))
         pair, first, place = np.unique(pair_id(word, context), return_index=True, return_inverse=True)
         word, context, m = word[first], context[first], np.bincount(place, m, len(pair)).astype(np.int64)
-        others = pack_wide(word, context, m)
+        order = np.lexsort((context, word))
+        word, context, m = word[order], context[order], m[order]
+        others = pack(word, context, m)
         sizes = [int((m == 1).sum()), int((m == 2).sum())]
         after, of = np.unique(word[m > 0], return_inverse=True)
         runs = [unpack(x.as_py(), 2) for x in table.column("run")]
@@ -304,10 +309,10 @@ def replies(others: DataFrame, counts: Counts, width: int, pick: Callable[[list[
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for bucket, data in zip(batch.column(0), batch.column(1)):
-                columns, _ = sums(pick(unpack_wide(data.as_py(), width)))
+                columns, _ = sums(pick(unpack(data.as_py(), width)))
                 dealt = by_bucket((mix(columns[0]) % np.uint64(homes)).astype(np.int32), homes)
                 kept = [b for b in range(homes) if len(dealt[b])]
-                run = [pack_wide(*(c[dealt[b]] for c in columns)) for b in kept]
+                run = [pack(*(c[dealt[b]] for c in columns)) for b in kept]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(kept, pa.int32()), pa.array([bucket.as_py()] * len(kept), pa.int32()), pa.array(run, pa.binary())],
                     ["home", "bucket", "run"],
@@ -315,10 +320,10 @@ def replies(others: DataFrame, counts: Counts, width: int, pick: Callable[[list[
 
     def answer(table: pa.Table) -> pa.Table:
         count = len(pick([np.zeros(0, np.int64)] * width))
-        runs = [unpack_wide(x.as_py(), count) for x in table.column("run")]
+        runs = [unpack(x.as_py(), count) for x in table.column("run")]
         (_, *found), place = sums([np.concatenate(x) for x in zip(*runs)])
         ends = np.cumsum([len(r[0]) for r in runs])
-        out = [pack_wide(r[0], *(v[place[end - len(r[0]) : end]] for v in found)) for r, end in zip(runs, ends)]
+        out = [pack(r[0], *(v[place[end - len(r[0]) : end]] for v in found)) for r, end in zip(runs, ends)]
         return pa.table({"bucket": table.column("bucket"), "reply": pa.array(out, pa.binary())})
 
     asked = others.select("bucket", "others").mapInArrow(ask, "home int, bucket int, run binary")
@@ -327,7 +332,7 @@ def replies(others: DataFrame, counts: Counts, width: int, pick: Callable[[list[
 
 def replied(table: pa.Table, context: np.ndarray, values: int) -> list[np.ndarray]:
     """The sums that the replies in a bucket's rows hold for each of the contexts, 0 where there is none."""
-    runs = [unpack_wide(x.as_py(), values + 1) for x in table.column("reply").drop_null()]
+    runs = [unpack(x.as_py(), values + 1) for x in table.column("reply").drop_null()]
     if not runs:
         return [np.zeros(len(context), np.int64)] * values
     known, *found = (np.concatenate(x) for x in zip(*runs))
@@ -339,7 +344,7 @@ def replied(table: pa.Table, context: np.ndarray, values: int) -> list[np.ndarra
 
 def others_of(table: pa.Table, width: int) -> list[np.ndarray]:
     data = table.column("others").drop_null()
-    return unpack_wide(data[0].as_py(), width) if len(data) else [np.zeros(0, np.int64)] * width
+    return unpack(data[0].as_py(), width) if len(data) else [np.zeros(0, np.int64)] * width
 
 
 def words_of(table: pa.Table) -> pa.Table:
@@ -511,7 +516,7 @@ def seated(
         tables = np.zeros((samples, len(opened)), np.int64)
         tables[:, trained] = [d[3] for d in drawn]
         found = table_of(rows, lengths, drawn).append_column("others", pa.nulls(rows.num_rows, pa.binary()))
-        last = {"bucket": pa.array([bucket], pa.int32()), "others": pa.array([pack_wide(*mine, *tables)], pa.binary())}
+        last = {"bucket": pa.array([bucket], pa.int32()), "others": pa.array([pack(*mine, *tables)], pa.binary())}
         last = pa.table({f.name: last.get(f.name, pa.nulls(1, f.type)) for f in found.schema}, schema=found.schema)
         return pa.concat_tables([found, last])
 
@@ -680,7 +685,8 @@ def score(docs: DataFrame) -> DataFrame:
         extra = replied(right, context, SAMPLES)
         of_other = place(other)
         of_pair = chance(of_other, m, mine, [held_by] * SAMPLES, [pairs_of + x for x in extra])
-        ids = pair_id(other, context)  # sorted, as gathered() leaves them
+        ids = pair_id(other, context)
+        by_id = np.argsort(ids)
         out: dict[str, list] = {k: [] for k in ("batch", "text", "n_tokens", "n_known", "base_score", "score", "ids", "held")}
         for row in range(left.num_rows):
             asked, text, times = unpack(left.column("run")[row].as_py(), 3)
@@ -690,7 +696,7 @@ def score(docs: DataFrame) -> DataFrame:
             counted = np.where(pair, np.append(n, 0)[j], 0)
             p = chance(i, counted, [np.append(x, 0)[j] for x in t], [x.customers[c] for x in seatings], [x.tables[c] for x in seatings])
             apart, text_apart, times_apart = unpack(left.column("apart")[row].as_py(), 3)
-            j = np.searchsorted(ids, apart)
+            j = by_id[np.searchsorted(ids, apart, sorter=by_id)]
             i, p = np.concatenate([i, of_other[j]]), np.concatenate([p, of_pair[j]])
             text, times = np.concatenate([text, text_apart]), np.concatenate([times, times_apart])
             texts = left.column("texts")[row].as_py()
