@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from edge import awkward, empty
+from pyspark.sql import functions as F
 
 from velomet.llm import hpylm
 
@@ -166,3 +167,33 @@ def test_runs_come_back_whole():
     for x, y in zip(hpylm.unpack(hpylm.pack(keys, a, b), 3), (keys, a, b)):
         assert (x == y).all()
     assert [len(x) for x in hpylm.unpack(hpylm.pack(keys[:0], a[:0]), 2)] == [0, 0]
+
+
+@pytest.mark.parametrize("passes", [1, 3])
+def test_texts_are_scored_in_turns(spark, sf_dir, monkeypatch, passes):
+    """Scores are the same whatever the number of turns, and a turn asks for its share of the texts only."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = docs.unionByName(docs.limit(20)).unionByName(docs.limit(3).withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType)))
+    same = lambda rows: sorted(((*r[:5], round(r["base_score"], 6), round(r["score"], 6)) for r in rows), key=str)
+    two = same(check(docs))
+    written = []
+    keep = hpylm.keep
+    monkeypatch.setattr(hpylm, "PASSES", passes)
+    monkeypatch.setattr(hpylm, "keep", lambda df: written.append(keep(df)) or written[-1])
+    assert same(check(docs)) == two
+    turns = [df.count() for df in written if "base_score" in df.columns]
+    assert len(turns) == passes - 1 and all(0 < n < len(two) for n in turns)
+
+
+def test_states_come_from_one_reading(spark, monkeypatch):
+    """Sums of all samples at once, words that hold much of the tokens being spread over rows."""
+    monkeypatch.setattr(hpylm, "COMMON_SHARE", 0.1)
+    a, b = 5, 9
+    rows = [(0, a, [1, 2], [4, 3], [2, 1, 3, 2], [3, 5], [2, 4]), (1, a, [3], [5], [1, 2], [3, 5], [2, 4]), (0, b, [0, 2], [6, 7], [1, 1, 2, 2], [2, 4], [1, 3])]
+    kind = "bucket int, word long, contexts array<int>, n array<long>, t array<long>, customers array<long>, top array<long>"
+    counts = hpylm.Counts(np.array([20, 30, 40]), np.array([a]), 25, 2, 2)
+    states, common = hpylm.states_of(spark.createDataFrame(rows, kind).repartition(2), counts, 2)
+    assert common == {a: 12}
+    assert [s.customers.tolist() for s in states] == [[6, 4, 10, 5]] * 2
+    assert [s.tables.tolist() for s in states] == [[1, 2, 2, 1], [2, 3, 4, 2]]
+    assert [(s.parent_customers, s.parent_tables, s.common) for s in states] == [(6.0, 3.0, {a: (4, 2)}), (11.0, 7.0, {a: (7, 4)})]

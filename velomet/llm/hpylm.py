@@ -15,7 +15,8 @@ Steps, each over all documents:
 3. two rounds of seating. Given how many tables each context has and its own word's
    customers, a word can be seated by itself: new seatings are drawn customer by customer for all its
    contexts and for the parent, sweep by sweep. The first round burns in, the second gives SAMPLES samples;
-4. score: every text's pairs meet their word's row, or their own, in the bucket, and sums per text come back.
+4. score, in PASSES turns over shares of the texts: every text's pairs meet their word's row, or their own, in the bucket, and sums per
+   text come back.
 
 Rows travel as sorted, delta-coded runs of keys, one binary value per batch of texts and bucket: a key is 42
 bits of the word's hash and 19 of the context's number, or 64 bits of a pair with another context. The words that hold
@@ -27,6 +28,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +53,8 @@ ONE_BY_ONE = 24
 BUCKET, RUN = 2_000_000, 2_000_000
 #: Buckets whose contexts answer together; messages are buckets x homes.
 PER_HOME = 4
+#: Turns in which texts are scored, each on its share of them.
+PASSES = 2
 SEED = 77
 
 #: No word holds white space, so these two strings are no words.
@@ -527,24 +531,63 @@ def seated(
     return rows.groupBy("bucket").cogroup(others.groupBy("bucket")).applyInArrow(meet, f"{kind}, others binary")
 
 
-def totals(rows: DataFrame, counts: Counts, sample: int, samples: int) -> State:
-    """The state that one sample of seated rows makes. Sums per context: at most 2^18 rows come to the driver."""
+def states_of(rows: DataFrame, counts: Counts, samples: int) -> tuple[list[State], dict[int, int]]:
+    """The states that the samples of seated rows make, and the occurrences of the common words; rows of count_pairs, with no samples,
+    make the state in which every pair has a table. One reading: tasks add up what they have, and at most 2^18 rows come to the driver."""
+    shared = rows.sparkSession.sparkContext.broadcast(counts)
     width = len(counts.contexts) + 1
-    taken = F.slice("t", F.size("contexts") * sample + 1, F.size("contexts"))
-    zipped = F.explode(F.arrays_zip(F.col("contexts").alias("c"), F.col("n").alias("n"), taken.alias("t"))).alias("z")
-    per_context = rows.select(zipped).groupBy("z.c").agg(F.sum("z.n").alias("n"), F.sum("z.t").alias("t")).toPandas()
-    customers, tables = np.zeros(width), np.zeros(width)
-    customers[per_context["c"]], tables[per_context["c"]] = per_context["n"], per_context["t"]
+    drawn = max(1, samples)
+
+    def added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        # Of contexts, and of the common words and last all others: occurrences, and per sample tables. Tables at the parent.
+        per_context = np.zeros((1 + drawn, width), np.int64)
+        per_word = np.zeros((1 + drawn, len(own.common) + 1), np.int64)
+        top = np.zeros((drawn, len(own.common) + 1), np.int64)
+        for batch in batches:
+            lengths = np.diff(batch.column("contexts").offsets.to_numpy())
+            context, n = flat(batch, "contexts"), flat(batch, "n")
+            word = batch.column("word").to_numpy()
+            place = np.searchsorted(own.common, word)
+            place = np.where(np.append(own.common, -1)[place] == word, place, len(own.common))
+            t = flat(batch, "t") if samples else np.ones(len(n), np.int64)
+            begin = np.repeat((np.cumsum(lengths) - lengths) * (drawn - 1), lengths) + np.arange(len(n))
+            for k, values in enumerate([n, *(t[begin + np.repeat(lengths, lengths) * s] for s in range(drawn))]):
+                np.add.at(per_context[k], context, values)
+                np.add.at(per_word[k], np.repeat(place, lengths), values)
+            if samples:
+                sat = flat(batch, "top").reshape(-1, samples)
+                for s in range(samples):
+                    np.maximum.at(top[s, :-1], place[place < len(own.common)], sat[place < len(own.common), s])
+                    top[s, -1] += sat[place == len(own.common), s].sum()
+        some = np.flatnonzero(per_context[0])
+        every = np.arange(len(own.common) + 1)
+        columns = [np.concatenate([per_context[k, some], per_word[k]]) for k in range(1 + drawn)]
+        columns += [np.concatenate([np.zeros(len(some), np.int64), top[s]]) for s in range(drawn)]
+        # Contexts go by their numbers, words by -1, -2, ...
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([some, -1 - every])), *map(pa.array, columns)], names)
+
+    names = ["c", "n", *(f"t{s}" for s in range(drawn)), *(f"top{s}" for s in range(drawn))]
+    columns = ["word", "contexts", "n", *(["t", "top"] if samples else [])]
     # A common word's rows each have a part of its customers but all of its tables at the parent.
-    common = rows.where(F.col("word").isin(counts.common.tolist())) if len(counts.common) else rows.limit(0)
-    own = F.aggregate(taken, F.lit(0).cast("long"), lambda a, x: a + x)
-    of_common = common.groupBy("word").agg(F.sum(own).alias("c"), F.max(F.col("top")[sample]).alias("t")).toPandas()
-    rest = rows.where(~F.col("word").isin(counts.common.tolist())) if len(counts.common) else rows
-    whole = rest.agg(F.coalesce(F.sum(own), F.lit(0)).alias("c"), F.coalesce(F.sum(F.col("top")[sample]), F.lit(0)).alias("t")).first()
-    return State(
-        customers, tables, float(whole["c"] + of_common["c"].sum()), float(whole["t"] + of_common["t"].sum()),
-        dict(zip(of_common["word"].astype(int).tolist(), zip(of_common["c"].astype(int).tolist(), of_common["t"].astype(int).tolist()))),
-    )
+    rest = F.col("c") == -1 - len(counts.common)
+    sums = [F.sum(c).alias(c) for c in names[1 : 2 + drawn]]
+    sums += [F.when(rest, F.sum(c)).otherwise(F.max(c)).alias(c) for c in names[2 + drawn :]]
+    found = rows.select(columns).mapInArrow(added, ", ".join(f"{c} long" for c in names)).groupBy("c").agg(*sums).toPandas()
+    contexts, words = found[found["c"] >= 0], found[found["c"] < 0].set_index("c")
+    words = words.reindex([-1 - k for k in range(len(counts.common) + 1)], fill_value=0)
+    states, common = [], counts.common.tolist()
+    for s in range(drawn):
+        customers, tables = np.zeros(width), np.zeros(width)
+        customers[contexts["c"]], tables[contexts["c"]] = contexts["n"], contexts[f"t{s}"]
+        own, at_parent = words[f"t{s}"].tolist(), words[f"top{s}"].tolist()
+        states.append(State(customers, tables, float(sum(own)), float(sum(at_parent)), dict(zip(common, zip(own, at_parent)))))
+    return states, dict(zip(common, words["n"].tolist()))
+
+
+def totals(rows: DataFrame, counts: Counts, sample: int, samples: int) -> State:
+    """The state that one sample of seated rows makes."""
+    return states_of(rows, counts, samples)[0][sample]
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -560,35 +603,31 @@ def score(docs: DataFrame) -> DataFrame:
     texts = _training(docs)
     counts = count_words(texts)
     made = keep(gathered(texts, counts))
-    release(spark)
+    release(spark, 3)
     pairs, others = count_pairs(texts, counts, made), made.where("others IS NOT NULL").select("bucket", "others")
     # Discounts from how many pairs and how many words were counted once and twice.
     once = made.select(*(F.col("sizes")[k].alias(x) for k, x in enumerate("abcde"))).agg(*(F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in "abcde")).first()
     discounts = tuple(min(0.95, max(0.1, (x + 1) / (x + 2 * y + 2))) for x, y in ((once["a"], once["b"]), (once["c"], once["d"])))
     # To begin with, every pair sits at one table.
-    width = len(counts.contexts) + 1
-    opened = pairs.select(F.explode(F.arrays_zip("contexts", "n")).alias("z")).groupBy("z.contexts").agg(
-        F.sum("z.n").alias("n"), F.count(F.lit(1)).alias("t")
-    ).toPandas()
-    customers, tables = np.zeros(width), np.zeros(width)
-    customers[opened["contexts"]], tables[opened["contexts"]] = opened["n"], opened["t"]
-    state = State(customers, tables, float(tables[1:].sum() + once["e"]), float(counts.words), {})
+    (opened,), _ = states_of(pairs, counts, 0)
+    state = State(opened.customers, opened.tables, float(opened.tables[1:].sum() + once["e"]), float(counts.words), {})
     told = replies(others, counts, 3, lambda c: [c[1], c[2], c[2] > 0])
     burnt = keep(seated(pairs, counts, state, discounts, 1, _with(others, told)))
     discard(made)
-    release(spark)
+    release(spark, 3)
     rows, others = count_pairs(texts, counts, burnt), burnt.where("others IS NOT NULL").select("bucket", "others")
     state = totals(burnt.where("word IS NOT NULL"), counts, 0, 1)
     # Pairs of one customer sit at one table whatever their context; the others ask what it opened beyond.
     told = replies(others, counts, 6, lambda c: [x[c[2] > 1] for x in (c[1], c[5] - 1)])
     last = keep(seated(rows, counts, _sums(state), discounts, SAMPLES, _with(others, told), 6))
     discard(burnt)
-    release(spark)
+    release(spark, 3)
     final, others = last.where("word IS NOT NULL"), last.where("others IS NOT NULL").select("bucket", "others")
-    states = [totals(final, counts, s, SAMPLES) for s in range(SAMPLES)]
+    states, own_common = states_of(final, counts, SAMPLES)
     # A context without repeated pairs has a table for each.
     wide = 5 + SAMPLES
-    told = replies(others, counts, wide, lambda c: [x[c[3] > c[4]] for x in (c[1], *(np.maximum(t - 1, 0) for t in c[5:]))])
+    told = keep(replies(others, counts, wide, lambda c: [x[c[3] > c[4]] for x in (c[1], *(np.maximum(t - 1, 0) for t in c[5:]))]))
+    release(spark, 3)
     shared = spark.sparkContext.broadcast((counts, states))
     inner, outer = discounts
 
@@ -705,8 +744,8 @@ def score(docs: DataFrame) -> DataFrame:
             some = np.flatnonzero(number)
             out["batch"].append(left.column("batch")[row].as_py())
             out["text"].append(some.astype(np.int32))
-            out["n_tokens"].append(number[some].astype(np.int64))
-            out["n_known"].append(sums(i < len(word))[some].astype(np.int64))
+            out["n_tokens"].append(number[some].astype(np.int32))
+            out["n_known"].append(sums(i < len(word))[some].astype(np.int32))
             out["base_score"].append(sums(base[i])[some])
             out["score"].append(sums(p)[some])
             out["ids"].append(left.column("ids")[row].as_py())
@@ -734,21 +773,30 @@ def score(docs: DataFrame) -> DataFrame:
     sums_of = ("n_tokens", "n_known", "base_score", "score")
     part_schema = pa.schema(
         [
-            ("batch", pa.int64()), ("text", pa.list_(pa.int32())), ("n_tokens", pa.list_(pa.int64())), ("n_known", pa.list_(pa.int64())),
+            ("batch", pa.int64()), ("text", pa.list_(pa.int32())), ("n_tokens", pa.list_(pa.int32())), ("n_known", pa.list_(pa.int32())),
             ("base_score", pa.list_(pa.float64())), ("score", pa.list_(pa.float64())), ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())),
         ]
     )
-    own_common = _common_counts(final, counts)
-    asked = texts.mapInArrow(runs, "bucket int, batch long, texts int, run binary, apart binary, ids array<long>, held array<boolean>")
-    # A row per batch and bucket, with the texts of the batch that have tokens in the bucket.
-    parts = asked.groupBy("bucket").cogroup(_with(last, told).groupBy("bucket")).applyInArrow(
-        meet,
-        "batch long, text array<int>, n_tokens array<long>, n_known array<long>, base_score array<double>, score array<double>, "
-        "ids array<long>, held array<boolean>",
-    )
-    return parts.groupBy("batch").applyInArrow(
-        add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    )
+
+    def scored(some: DataFrame) -> DataFrame:
+        asked = some.mapInArrow(runs, "bucket int, batch long, texts int, run binary, apart binary, ids array<long>, held array<boolean>")
+        # A row per batch and bucket, with the texts of the batch that have tokens in the bucket.
+        parts = asked.groupBy("bucket").cogroup(_with(last, told).groupBy("bucket")).applyInArrow(
+            meet,
+            "batch long, text array<int>, n_tokens array<int>, n_known array<int>, base_score array<double>, score array<double>, "
+            "ids array<long>, held array<boolean>",
+        )
+        return parts.groupBy("batch").applyInArrow(
+            add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+        )
+
+    # The pairs of all texts are as large as all else together, so a share of the texts lies on disk at a time.
+    turn = F.pmod(F.xxhash64("doc_id", "t"), F.lit(PASSES))
+    found = [scored(texts.where(turn == k)) for k in range(PASSES)]
+    for k in range(PASSES - 1):
+        found[k] = keep(found[k])
+        release(spark, 3)
+    return reduce(DataFrame.unionByName, found)
 
 
 def _with(rows: DataFrame, told: DataFrame) -> DataFrame:
@@ -759,12 +807,3 @@ def _with(rows: DataFrame, told: DataFrame) -> DataFrame:
 def _sums(state: State) -> State:
     """The state as seating reads it: of common words, the customers alone."""
     return State(state.customers, state.tables, state.parent_customers, state.parent_tables, {w: c for w, (c, _) in state.common.items()})
-
-
-def _common_counts(rows: DataFrame, counts: Counts) -> dict[int, int]:
-    """Occurrences of the common words, at most 2^10."""
-    if not len(counts.common):
-        return {}
-    total = F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n")
-    found = rows.where(F.col("word").isin(counts.common.tolist())).groupBy("word").agg(total).collect()
-    return {r["word"]: r["n"] for r in found}
